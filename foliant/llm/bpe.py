@@ -23,21 +23,6 @@ from pyspark.sql import functions as F
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 _ODD_SPACE = regex.compile(r"[\x1C-\x1F]")
-
-
-def _unassigned() -> regex.Pattern:
-    """Code points that this Python does not know; the library's newer tables may."""
-    ranges, start = [], None
-    for cp in range(0x110001):
-        unknown = cp < 0x110000 and unicodedata.category(chr(cp)) == "Cn"
-        if unknown and start is None:
-            start = cp
-        elif not unknown and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{cp - 1:08x}")
-            start = None
-    return regex.compile("[" + "".join(ranges) + "]")
-
-
 #: Words with more parts are merged with a heap, whose cost is n log n.
 SHORT_PARTS = 64
 #: Entries of a worker's word cache before it is emptied.
@@ -78,7 +63,7 @@ class WordCodec:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self._path, self._library, self._unassigned = path, None, _unassigned()
+        self._path, self._library, self._known = path, None, set()
         self._raw = {s: b for b, s in enumerate(symbols)}
         self._words: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
@@ -161,8 +146,11 @@ class WordCodec:
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
-            if self._unassigned.search(text):
-                return self._by_library(text)
+            if new := set(text) - self._known:
+                # code points that this Python does not know; the library's newer tables may
+                if any(unicodedata.category(c) == "Cn" for c in new):
+                    return self._by_library(text)
+                self._known |= new
             text = unicodedata.normalize("NFC", text)
             text = "".join([c.lower() for c in text]) if "Σ" in text else text.lower()
         else:
