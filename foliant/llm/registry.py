@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, media, packing, sharding, url_filters
+from . import bpe, exact_dedup, media, packing, pii, sharding, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.op2_url_filters,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
     "op8_media": media.op8_media,
+    "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
 }
 ORACLES: dict[str, str] = {
