@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, media, packing, pii, sharding, url_filters
+from . import bpe, exact_dedup, media, packing, pii, quality, sharding, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.op2_url_filters,
+    "op3_quality": quality.op3_quality,
     "op4_bpe": bpe.op4_bpe,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_packing": packing.op6_packing,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_media": media.op8_media,
     "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
