@@ -15,7 +15,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, boun
     """About ``bound`` (text, label) rows of each label, whole texts, chosen by a hash of the id; the share of label 1.
 
     ``allowed`` says which rows may be learnt from.  Only the sample reaches the
-    driver; rows without a label, id or text are not learnt from, and ids that
+    driver, and its ids, about twice ``bound``, are broadcast so that no text is shuffled; rows without a label, id or text are not learnt from, and ids that
     carry several labels count with the smallest.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("int").alias("label")).where(allowed)
@@ -25,5 +25,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, boun
     for value, n in sizes.items():
         share = F.when(F.col("label") == value, F.lit(bound / n)).otherwise(share)
     picked = known.where(draw < share)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").join(picked, "doc_id").select("text", "label").collect()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").join(F.broadcast(picked), "doc_id").select("text", "label").collect()
     return sorted({(r["text"], r["label"]) for r in rows}), sizes.get(1, 0) / max(1, sum(sizes.values()))

@@ -239,16 +239,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, all columns; rows without an id stay.
+
+    Texts without words are linked with nothing, so they stay too.
+    """
+    gone = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+
+
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=3, percent=85)
 
 
 SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
 ), s AS (
   SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(generate_series(1, len(ws) - 2), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS g FROM w
+    ELSE list_distinct(list_transform(generate_series(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS g FROM w
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), p AS (

@@ -191,12 +191,14 @@ def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return found.select("doc_id", *[number(r).alias(f"n_{k}") for r, k in enumerate(PATTERNS)], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"))
 
 
-def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data out of the text: base spans become ``[EMAIL]`` and so on.
 
     A term of degree ``REMOVE`` or more is removed, a lesser one becomes
     ``[TERM]``.  Where spans overlap, the first is replaced and the rest of the
-    overlap goes with it.  All other columns stay; null texts stay null.
+    overlap goes with it.  All other columns stay, but for
+    ``count_col``, which gets the length of a text that changed; null texts stay
+    null.
     """
     names = docs.columns
     scanned = _scanned(docs, id_col, text_col, whole=True)
@@ -214,7 +216,8 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
     touched = scanned.where(F.size("base") > 0).join(_with_terms(scanned, docs, text_col), "uid", "left")
     touched = touched.select("row", F.col(f"row.`{text_col}`").alias("old"), F.array_sort(F.concat(base, terms)).alias("cuts")).withColumn("new", edit)
-    return plain.unionByName(touched.select(*[F.col("new").alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in names]))
+    changed = {text_col: F.col("new"), count_col: F.length("new").cast("long")}
+    return plain.unionByName(touched.select(*[changed[n].alias(n) if n in changed else F.col(f"row.`{n}`").alias(n) for n in names]))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
