@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,18 +10,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .slices import CACHE_ENTRIES, hold, map_slices
 from .storage import discard, stored
 
-#: Coordinates of a signature, and matches that a pair needs to be confirmed.  A pair at
-#: similarity 0.85 misses 17 of 32 matches with probability below 3e-6.
-COORDINATES, MATCHES = 32, 17
+#: Minima that make up one coordinate.  With one, unrelated texts meet by chance in numbers that grow with
+#: the square of the corpus; with two, the chance is squared.
+MINIMA = 2
+#: Coordinates of a signature, and matches that a pair needs to be confirmed.  A pair at similarity
+#: 0.85 (0.8) misses 9 of 32 matches with probability below 1e-7 (2e-5).
+COORDINATES, MATCHES = 32, 9
 #: A pair with MATCHES matches shares one of these many coordinates in any common order.
 PREFIX = COORDINATES - MATCHES + 1
 #: Cells of the token frequency table that orders coordinates, rarest first; it bounds what the driver holds.
 CELLS = 1 << 16
-CACHE_ENTRIES = 500_000
 
-_SEEDS = np.random.default_rng(20_011).integers(1, 1 << 63, size=(2, COORDINATES), dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(20_011).integers(1, 1 << 63, size=(2, COORDINATES * MINIMA), dtype=np.uint64) | np.uint64(1)
 _words: dict[bytes, int] = {}
 
 
@@ -34,7 +36,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _number(word: bytes) -> int:
     got = xxhash.xxh64_intdigest(word)
-    if len(_words) > CACHE_ENTRIES:
+    if len(_words) >= CACHE_ENTRIES:
         _words.clear()
     if len(word) <= 64:
         _words[word] = got
@@ -57,12 +59,16 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """Least value of each coordinate's hash over the set, as 32-bit integers."""
-    out = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(s), 4096):
-        part = (s[at : at + 4096, None] * _SEEDS[0] + _SEEDS[1]) >> np.uint64(16)
+    """Each coordinate's least hash values over the set, mixed into one 32-bit integer."""
+    out = np.full(COORDINATES * MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(s), 512):
+        part = (s[at : at + 512, None] * _SEEDS[0] + _SEEDS[1]) >> np.uint64(16)
         np.minimum(out, part.min(axis=0), out=out)
-    return _mix(out).astype(np.uint32).view(np.int32)
+    least = out.reshape(COORDINATES, MINIMA)
+    mixed = least[:, 0]
+    for k in range(1, MINIMA):
+        mixed = _mix(mixed) + least[:, k]
+    return _mix(mixed).astype(np.uint32).view(np.int32)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -99,17 +105,17 @@ class _Run:
     def signed(self) -> DataFrame:
         width = self.width
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                size, digest, signs = [], [], []
-                for text in batch["text"]:
-                    s = shingles(text, width)
-                    size.append(len(s))
-                    digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    signs.append(signature(s) if len(s) else None)
-                yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "n_shingles": size, "digest": digest, "sign": signs})
-
-        out = self.rows.mapInPandas(run, "doc_id long, text_hash long, n_shingles long, digest binary, sign array<int>")
+        def run(batch: pd.DataFrame) -> pd.DataFrame:
+            hold("minhash", _words)
+            size, digest, signs = [], [], []
+            for text in batch["text"]:
+                s = shingles(text, width)
+                size.append(len(s))
+                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                signs.append(signature(s) if len(s) else None)
+            return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "n_shingles": size, "digest": digest, "sign": signs})
+
+        out = map_slices(self.rows, run, "doc_id long, text_hash long, n_shingles long, digest binary, sign array<int>")
         return stored(out.withColumn("uid", F.monotonically_increasing_id()), "signed")
 
     def sets(self, nodes: DataFrame, keys: DataFrame) -> DataFrame:
@@ -120,27 +126,19 @@ class _Run:
             wanted = F.broadcast(wanted)
         texts = self.rows.join(wanted, (self.rows["text_hash"] == wanted["text_hash"]) & self.rows["doc_id"].eqNullSafe(wanted["of"])).select("node", "text")
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield pd.DataFrame({"node": batch["node"], "items": [shingles(t, width).view(np.int64) for t in batch["text"]]})
+        def run(batch: pd.DataFrame) -> pd.DataFrame:
+            hold("minhash", _words)
+            return pd.DataFrame({"node": batch["node"], "items": [shingles(t, width).view(np.int64) for t in batch["text"]]})
 
-        return stored(texts.mapInPandas(run, "node long, items array<long>"), "sets")
+        return stored(map_slices(texts, run, "node long, items array<long>"), "sets")
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold on full sets."""
         one = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
         two = one.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-        percent = self.percent
-
-        @F.pandas_udf("boolean")
-        def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-            out = []
-            for p, q in zip(x, y, strict=True):
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                out.append(100 * both >= percent * (len(p) + len(q) - both))
-            return pd.Series(out, dtype=bool)
-
-        return stored(two.where(linked("x", "y")).select("a", "b").distinct(), "links")
+        both = F.size(F.array_intersect("x", "y"))
+        linked = two.withColumn("both", both).where(100 * F.col("both") >= self.percent * (F.size("x") + F.size("y") - F.col("both")))
+        return stored(linked.select("a", "b").distinct(), "links")
 
     def postings(self, nodes: DataFrame) -> DataFrame:
         """node, common, tokens: each node's PREFIX rarest coordinates, in an order that all nodes share."""
@@ -151,29 +149,29 @@ class _Run:
             counts[r["cell"]] = r["n"]
         held = self.spark.sparkContext.broadcast(counts)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            often = held.value
-            for batch in batches:
-                if not len(batch):
-                    continue
-                t = np.stack(batch["t"].to_numpy())
-                n = often[t % CELLS]
-                first = np.take_along_axis(t, np.lexsort((t, n), axis=1)[:, :PREFIX], 1)
-                yield pd.DataFrame({"node": batch["node"], "common": np.log1p(n).sum(axis=1).round(6), "tokens": list(first)})
+        def run(batch: pd.DataFrame) -> pd.DataFrame:
+            t = np.stack(batch["t"].to_numpy())
+            n = held.value[t % CELLS]
+            first = np.take_along_axis(t, np.lexsort((t, n), axis=1)[:, :PREFIX], 1)
+            return pd.DataFrame({"node": batch["node"], "common": np.log1p(n).sum(axis=1).round(6), "tokens": list(first)})
 
-        return stored(nodes.select("node", token.alias("t")).mapInPandas(run, "node long, common double, tokens array<long>"), "postings")
+        return stored(map_slices(nodes.select("node", token.alias("t")), run, "node long, common double, tokens array<long>"), "postings")
+
+    def matching(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) that match in MATCHES coordinates."""
+        signs = nodes.select("node", "sign")
+        both = pairs.join(signs.toDF("a", "sa"), "a").join(signs.toDF("b", "sb"), "b")
+        matches = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, m: s + m)
+        return stored(both.where(matches >= MATCHES).select("a", "b"), "pairs")
 
     def star_pairs(self, posts: DataFrame, nodes: DataFrame) -> DataFrame:
         """Each posted node with the commonest node of its list, if enough coordinates match."""
         lists = posts.select(F.explode("tokens").alias("token"), "node", "common")
         hubs = lists.groupBy("token").agg(F.max(F.struct("common", -F.col("node"))).alias("top"), F.count("*").alias("n")).where("n > 1").select("token", (-F.col("top.col2")).alias("hub"))
         pairs = lists.join(hubs, "token").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        signs = nodes.select("node", "sign")
-        pairs = pairs.join(signs.toDF("a", "sa"), "a").join(signs.toDF("b", "sb"), "b")
-        matches = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, m: s + m)
-        return stored(pairs.where(matches >= MATCHES).select("a", "b"), "pairs")
+        return self.matching(pairs, nodes)
 
-    def cross_pairs(self, posts: DataFrame, comps: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    def cross_pairs(self, posts: DataFrame, comps: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         """Pairs that share a posting but no component yet and may still reach the threshold; and their sets.
 
         A shingle that no other open node holds cannot be shared, so a node with
@@ -187,7 +185,7 @@ class _Run:
         open_ = stored(lists.join(mixed, "token").groupBy("node", "comp").agg(F.sort_array(F.collect_list("token")).alias("tokens")), "open")
         if open_.isEmpty():
             return None
-        sets = self.sets(open_, keys)
+        sets = self.sets(open_, nodes.select("node", "doc_id", "text_hash"))
         alone = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
         sized = open_.join(sets.select("node", F.size("items").alias("s")), "node").join(alone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where(100 * (F.col("s") - F.col("u")) >= self.percent * F.col("s"))
         live = stored(sized.withColumn("token", F.explode("tokens")), "live")
@@ -198,7 +196,7 @@ class _Run:
             & (100 * F.least(F.expr("x.s - x.u"), F.expr("y.s - y.u")) >= self.percent * F.greatest(F.expr("x.s + y.u"), F.expr("y.s + x.u")))
             & (F.array_min(F.array_intersect("x.tokens", "y.tokens")) == F.col("x.token"))
         )
-        return stored(x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs"), sets
+        return self.matching(x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), nodes), sets
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,7 +225,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     links = run.confirmed(pairs, run.sets(ends, keys))
     comps = components(links)
-    cross = run.cross_pairs(posts, comps, keys)
+    cross = run.cross_pairs(posts, comps, nodes)
     if cross is not None:
         more = run.confirmed(*cross)
         comps = components(links.unionByName(more))
