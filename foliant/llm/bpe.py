@@ -12,20 +12,21 @@ import json
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .slices import hold, map_slices
+
 #: Unicode white space; Python's str.split() splits on four more characters.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 _ODD_SPACE = regex.compile(r"[\x1C-\x1F]")
 #: Words with more parts are merged with a heap, whose cost is n log n.
 SHORT_PARTS = 64
-#: Entries of a worker's word cache before it is emptied.
+#: Entries of a worker's word caches, about 200 bytes each; smaller ones double the time where words are many.
 CACHE_ENTRIES = 1_000_000
 _NEVER = 1 << 62
 
@@ -122,7 +123,7 @@ class WordCodec:
         got = self._words.get(word)
         if got is None:
             got = array("I", self.word_ids(word.encode())).tobytes()
-            if len(self._words) > CACHE_ENTRIES:
+            if len(self._words) >= CACHE_ENTRIES:
                 self._words.clear()
             if len(word) <= SHORT_PARTS:
                 self._words[word] = got
@@ -158,7 +159,7 @@ class WordCodec:
         if _ODD_SPACE.search(text):
             return b"".join(map(self._word, _WORDS.findall(text)))
         known, miss = self._chunks, self._chunk
-        if len(known) > CACHE_ENTRIES:
+        if len(known) >= CACHE_ENTRIES:
             known.clear()
         return b"".join([known[c] if c in known else miss(c) for c in text.split()])
 
@@ -176,9 +177,15 @@ class WordCodec:
 
 
 @functools.lru_cache(maxsize=2)
+def _codec(path: str) -> WordCodec:
+    return WordCodec(path)
+
+
 def codec(path: str) -> WordCodec:
     """One codec for each worker and vocabulary."""
-    return WordCodec(path)
+    c = _codec(path)
+    hold("bpe", c._words, c._chunks)
+    return c
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,51 +195,48 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     rows are encoded as rows of their own; null ids stay null.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
         c = codec(path)
-        for batch in batches:
-            ids = [c.encode(t or "") for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [c.decode(x) for x in ids]})
+        ids = [c.encode(t or "") for t in batch["text"]]
+        return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [c.decode(x) for x in ids]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    return map_slices(rows, run, "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     """As ``encode_documents``, with SHA-256 digests of ids and decoded text in their place."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
         c = codec(path)
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = c.encode(text or "")
-                rows.append((len(ids) // 4, sha(ids), sha(c.decode(ids).encode())))
-            n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
+        rows = []
+        for text in batch["text"]:
+            ids = c.encode(text or "")
+            rows.append((len(ids) // 4, sha(ids), sha(c.decode(ids).encode())))
+        n, a, b = zip(*rows, strict=True)
+        return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_slices(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def piece_table(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and ``end_id``, cut into ``size`` tokens."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
         c = codec(path)
         tail, step = array("I", [end_id]).tobytes(), 4 * size
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                ids = c.encode(text or "") + tail
-                for at in range(0, len(ids), step):
-                    part = ids[at : at + step]
-                    rows.append((doc, at // step, at // 4, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+        rows = []
+        for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
+            ids = c.encode(text or "") + tail
+            for at in range(0, len(ids), step):
+                part = ids[at : at + step]
+                rows.append((doc, at // step, at // 4, len(part) // 4, zlib.crc32(part)))
+        return pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_slices(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

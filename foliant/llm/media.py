@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gif
+from .slices import map_slices
 
 UNIT = 64
 _FRAMES = "media_id long, frame int, start_cs long, delay_cs long, width int, height int, disposal int, pixels binary, histogram array<long>, error string"
@@ -66,15 +67,14 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are rows of their own.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
         names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        for batch in batches:
-            out = pd.DataFrame([_row(t) for t in batch["text"]], columns=names)
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
-            yield out.astype({"doc_id": "Int64"})
+        out = pd.DataFrame([_row(t) for t in batch["text"]], columns=names)
+        out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+        return out.astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return map_slices(rows, run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:

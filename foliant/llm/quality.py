@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import remainder, sample
+from .slices import CACHE_ENTRIES, hold, map_slices
 
 #: Labelled rows of each class that are learnt from, at most about so many.
 TRAIN_ROWS = 2500
@@ -22,7 +23,6 @@ GRAMS = (3, 5)
 #: A word of a line that the text already had, or that repeats the word before, counts as so many repeat features.
 REPEAT_WEIGHT = 8
 _REPEAT = zlib.crc32(b"\0repeated line") & (BUCKETS - 1)
-CACHE_ENTRIES = 500_000
 #: Parts and part of crc32(doc_id) that are never learnt from.
 PARTS, HELD_OUT = 3, 1
 
@@ -60,15 +60,17 @@ class Model:
 def _bag(text: str, cache: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     words, repeats = words_and_repeats(text)
     counts = Counter(words)
+    if len(cache) > CACHE_ENTRIES:
+        cache.clear()
     for w in counts:
         if w not in cache:
-            cache[w] = features(w)
+            cache[w] = features(w).astype(np.int32)
     parts = [cache[w] for w in counts]
     ids = np.concatenate([*parts, [_REPEAT]])
     times = np.concatenate([np.repeat(np.array(list(counts.values()), dtype=float), [len(p) for p in parts]), [repeats * REPEAT_WEIGHT]]) if parts else np.zeros(1)
     unique, where = np.unique(ids, return_inverse=True)
     share = np.bincount(where, weights=times)
-    return unique, (share / max(share.sum(), 1.0)).astype(np.float32)
+    return unique.astype(np.int32), (share / max(share.sum(), 1.0)).astype(np.float32)
 
 
 def train(rows: list[tuple[str, int]], seed: int = 5) -> Model:
@@ -110,7 +112,7 @@ class Scorer:
     def _word(self, word: str) -> complex:
         ids = features(word)
         got = complex(float(self.model.weight[ids].sum()), len(ids))
-        if len(self.words) > CACHE_ENTRIES:
+        if len(self.words) >= CACHE_ENTRIES:
             self.words.clear()
         if len(word) <= 64:
             self.words[word] = got
@@ -132,6 +134,7 @@ def _scorer(model: Model) -> Scorer:
     if key not in _SCORERS:
         _SCORERS.clear()
         _SCORERS[key] = Scorer(model)
+    hold("quality", _SCORERS[key].words)
     return _SCORERS[key]
 
 
@@ -148,13 +151,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
         scorer = _scorer(held.value)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"], "score": [scorer.score(t or "") for t in batch["text"]]})
+        return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"], "score": [scorer.score(t or "") for t in batch["text"]]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), PARTS) == HELD_OUT).alias("held_out"), "text")
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return map_slices(rows, run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
