@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import corpus, evaluation, lines
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**evaluation.QUERIES, **lines.QUERIES, **corpus.QUERIES}
+ORACLES: dict[str, str] = {**evaluation.ORACLES, **lines.ORACLES, **corpus.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("n"))
+    """Normalised edit distance of neighbouring turns by role."""
+    return evaluation.ned_by_role(spark, sf_dir)
