@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import remainder, sample
-from .slices import CACHE_ENTRIES, hold, map_slices
+from .slices import hold, map_slices
 
+#: Entries of a worker's word cache, about 190 bytes each; it is emptied when another operator takes the worker.
+CACHE_ENTRIES = 400_000
 #: Labelled rows of each class that are learnt from, at most about so many.
 TRAIN_ROWS = 2500
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 8, 8, 6.0
@@ -60,7 +62,7 @@ class Model:
 def _bag(text: str, cache: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     words, repeats = words_and_repeats(text)
     counts = Counter(words)
-    if len(cache) > CACHE_ENTRIES:
+    if len(cache) > CACHE_ENTRIES // 4:
         cache.clear()
     for w in counts:
         if w not in cache:
