@@ -1,0 +1,42 @@
+"""Row-local kernels against brute force and hand-derived values."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from foliant.functions import kernels as K
+
+
+def test_tail_period_against_brute_force():
+    rng = random.Random(7)
+    for _ in range(400):
+        unit = "".join(rng.choice("ab") for _ in range(rng.randint(1, 9)))
+        s = "".join(rng.choice("abc") for _ in range(rng.randint(0, 12))) + unit * rng.randint(1, 5)
+        expected = max((p for p in range(3, len(s) // 2) if s[-p:] == s[-2 * p : -p]), default=0)
+        assert K.tail_period(s, 3) == expected
+
+
+def test_truncate_repetitions_keeps_what_does_not_repeat():
+    assert K.truncate_repetitions(None) is None
+    assert K.truncate_repetitions("") == ""
+    plain = "One sentence. Another one that is long enough to be looked at, with no repeat at all."
+    assert K.truncate_repetitions(plain) == plain
+    sentence = "this very sentence comes again and again. "
+    cut = K.truncate_repetitions("A start. " + sentence * 8)
+    assert cut.startswith("A start. this very") and len(cut) < len(sentence) * 4
+
+
+def test_bleu():
+    assert K.bleu4("a b c d e", "a b c d e") == pytest.approx(1.0)
+    assert K.bleu4("x y", "a b") == 0.0
+    assert K.bleu4("", "a b") == 0.0
+    assert K.bleu4(None, "a") is None
+
+
+def test_html_reads_the_article_only():
+    html = '<script>var t="</p>";</script><nav><ul><li>no</li></ul></nav><article><h1>T&amp;x</h1><p><b>one</b> two<br>three<p>four</p><ul><li>five</li></ul></article><footer>no</footer>'
+    assert K.html_to_markup(html).split("\n") == ["[TITLE]# T&x[END_TITLE]", "[TEXT]one two three[END_TEXT]", "[TEXT]four[END_TEXT]", "[TEXT]* five[END_TEXT]"]
+    assert K.html_to_markup(None) is None
+    assert K.html_to_markup("<p>no article</p>") == ""
