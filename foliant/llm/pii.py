@@ -23,7 +23,8 @@ KINDS = [*PATTERNS, "term"]
 CONTEXT = 60
 #: Terms are words of at least four letters or digits that start with a letter.
 TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
-#: A pair of term and entity counts if it is seen in so many different texts,
+#: A pair of term and exact entity counts if it is seen in so many different texts; a term
+#: of a whole kind has no such bound, its degree is smoothed.  A term
 #: discloses if PMI / IC(entity) reaches GENERALISE, and is removed from REMOVE on.
 SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
 _BLOCK = 256
@@ -141,30 +142,43 @@ def _scanned(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -
 
 
 def disclosing_terms(scanned: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """rank, value, term, degree: terms that reveal an entity, by corpus co-occurrence.
+    """rank, value, term, degree: terms that reveal an entity, or any entity of its kind (value null), by corpus co-occurrence.
 
     Over all documents, with p(t), p(e) the shares of documents that hold the
     term and the entity and p(t, e) those where the term stands beside it,
     degree = PMI(t; e) / -log p(e), which is 1 if the term never occurs without
-    the entity.  Counts are sums, so no group is gathered in one task.
+    the entity.  Most entities are unique, so e is also every entity of a kind
+    at once; that degree is smoothed by one text in which the two have nothing to
+    do with each other.  Counts are sums, so no group is gathered in one task.
     """
-    near = scanned.select("uid", "text_hash", F.explode("near").alias("t")).select("uid", "text_hash", "t.rank", "t.value", "t.term").distinct()
-    # distinct texts per pair first, then documents
-    pairs = near.groupBy("rank", "value", "term", "text_hash").agg(F.count("*").alias("docs")).groupBy("rank", "value", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    entities = scanned.select("uid", F.explode("base").alias("s")).select("uid", "s.rank", "s.value").distinct().groupBy("rank", "value").agg(F.count("*").alias("with_entity"))
+    near = scanned.select("uid", "text_hash", F.explode("near").alias("t")).select("uid", "text_hash", "t.rank", "t.value", "t.term")
+    base = scanned.select("uid", F.explode("base").alias("s")).select("uid", "s.rank", "s.value")
+
+    def together(keys: list[str]) -> DataFrame:
+        # distinct texts per pair first, then documents
+        per_text = near.select("uid", "text_hash", *keys, "term").distinct().groupBy(*keys, "term", "text_hash").agg(F.count("*").alias("docs"))
+        return per_text.groupBy(*keys, "term").agg(F.sum("docs").alias("both"), F.count("*").alias("texts"))
+
+    held = lambda keys: base.select("uid", *keys).distinct().groupBy(*keys).agg(F.count("*").alias("with_entity"))
+    exact = together(["rank", "value"]).where(F.col("texts") >= SUPPORT).join(held(["rank", "value"]), ["rank", "value"]).withColumn("trust", F.lit(1.0))
+    kinds = together(["rank"]).join(F.broadcast(held(["rank"])), "rank")  # a row per kind
+    kinds = kinds.withColumn("value", F.lit(None).cast("string")).withColumn("trust", F.col("texts") / (F.col("texts") + 1))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), 0))
     counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     total = docs.agg(F.count("*").alias("total"))
-    scored = pairs.join(entities, ["rank", "value"]).join(counts, "term").crossJoin(F.broadcast(total))  # one row
+    scored = exact.unionByName(kinds).join(counts, "term").crossJoin(F.broadcast(total))  # one row
     p_e = F.col("with_entity") / F.col("total")
     pmi = F.log(F.least(F.lit(1.0), F.col("both") / F.col("with_term")) / p_e)
-    return scored.withColumn("degree", F.when(p_e < 1, pmi / -F.log(p_e))).where(F.col("degree") >= GENERALISE).select("rank", "value", "term", "degree")
+    return scored.withColumn("degree", F.when(p_e < 1, F.col("trust") * pmi / -F.log(p_e))).where(F.col("degree") >= GENERALISE).select("rank", "value", "term", "degree")
 
 
 def _with_terms(scanned: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """uid, terms (array<struct<start,rank,end,degree>>) of the rows that have any."""
     found = scanned.select("uid", F.explode("near").alias("t")).select("uid", "t.*")
-    hits = found.join(disclosing_terms(scanned, docs, text_col), ["rank", "value", "term"]).groupBy("uid", "start", "end").agg(F.max("degree").alias("degree"))
+    told = stored(disclosing_terms(scanned, docs, text_col), "terms")
+    of_value = found.join(told.where("value IS NOT NULL"), ["rank", "value", "term"])
+    of_kind = found.join(told.where("value IS NULL").drop("value"), ["rank", "term"])
+    hits = of_value.select("uid", "start", "end", "degree").unionByName(of_kind.select("uid", "start", "end", "degree")).groupBy("uid", "start", "end").agg(F.max("degree").alias("degree"))
     rank = F.lit(KINDS.index("term")).alias("rank")
     return hits.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", rank, "end", "degree"))).alias("terms"))
 

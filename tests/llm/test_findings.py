@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from foliant.llm import toxicity
+from foliant.llm import pii, toxicity
 
 
 def test_toxicity_scores_words_of_a_minority():
@@ -26,3 +26,14 @@ def test_toxicity_recall_by_language(spark):
     caught = Counter(lang[r.doc_id] for r in rows if r.predicted)
     print(caught, total)
     assert all(caught[k] / total[k] >= 0.5 for k in total)
+
+
+def test_pii_terms_of_unique_entities(spark):
+    """Every address stands once; a name that only ever stands beside one is found, an ordinary word is not."""
+    texts = [f"letter {i} from wexford user{i}@site{i}.org about matters" for i in range(12)] + [f"letter {i} about matters of some kind" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.span_table(docs).collect()}
+    new = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    for i in range(12):
+        assert "term:" in spans[i] and "wexford" not in new[i] and "letter" in new[i] and "matters" in new[i]
+    assert all(spans[i] == "" and new[i] == texts[i] for i in range(12, 212))
