@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from collections import Counter
 from decimal import Decimal
 
 import duckdb
@@ -47,6 +48,8 @@ def assert_same(df, sql: str, folder: str) -> int:
     assert sorted(df.columns) == sorted(columns)
     actual = [tuple(r) for r in df.collect()]
     a, b = rows_of(df.columns, actual), rows_of(columns, expected)
-    extra, missing = [x for x in a if x not in set(b)][:3], [x for x in b if x not in set(a)][:3]
-    assert a == b, f"{len(a)} rows against {len(b)}; only here: {extra}; only there: {missing}"
+    if a != b:
+        here, there = Counter(a), Counter(b)
+        extra, missing = list((here - there).elements())[:3], list((there - here).elements())[:3]
+        raise AssertionError(f"{len(a)} rows against {len(b)}; only here: {extra}; only there: {missing}")
     return len(a)
