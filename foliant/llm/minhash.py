@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .slices import CACHE_ENTRIES, hold, map_slices
-from .storage import discard, stored
+from .storage import discard, stored, temporary
 
 #: Minima that make up one coordinate.  With one, unrelated texts meet by chance in numbers that grow with
 #: the square of the corpus; with two, the chance is squared.
@@ -157,46 +157,118 @@ class _Run:
 
         return stored(map_slices(nodes.select("node", token.alias("t")), run, "node long, common double, tokens array<long>"), "postings")
 
-    def matching(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (a, b) that match in MATCHES coordinates."""
+    def matching(self, counted: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) of (a, b, hits) that match in MATCHES coordinates.
+
+        ``hits`` collisions were counted in the merged prefix lists; only pairs
+        that these leave undecided probe the lists that were skipped, by their
+        signatures.
+        """
+        sure, open_ = counted.where(F.col("hits") >= MATCHES).select("a", "b"), counted.where(F.col("hits") < MATCHES).select("a", "b")
         signs = nodes.select("node", "sign")
-        both = pairs.join(signs.toDF("a", "sa"), "a").join(signs.toDF("b", "sb"), "b")
+        both = open_.join(signs.toDF("a", "sa"), "a").join(signs.toDF("b", "sb"), "b")
         matches = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, m: s + m)
-        return stored(both.where(matches >= MATCHES).select("a", "b"), "pairs")
+        return stored(sure.unionByName(both.where(matches >= MATCHES).select("a", "b")), "pairs")
 
     def star_pairs(self, posts: DataFrame, nodes: DataFrame) -> DataFrame:
         """Each posted node with the commonest node of its list, if enough coordinates match."""
         lists = posts.select(F.explode("tokens").alias("token"), "node", "common")
         hubs = lists.groupBy("token").agg(F.max(F.struct("common", -F.col("node"))).alias("top"), F.count("*").alias("n")).where("n > 1").select("token", (-F.col("top.col2")).alias("hub"))
-        pairs = lists.join(hubs, "token").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        return self.matching(pairs, nodes)
+        pairs = lists.join(hubs, "token").where("node <> hub").groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.count("*").alias("hits"))
+        return self.matching(stored(pairs, "collisions"), nodes)
 
     def cross_pairs(self, posts: DataFrame, comps: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         """Pairs that share a posting but no component yet and may still reach the threshold; and their sets.
 
-        A shingle that no other open node holds cannot be shared, so a node with
-        u such shingles of s reaches at most (s - u) in any intersection and adds
-        u to any union.  Nodes and pairs that this bound excludes are skipped,
-        and a pair is counted in the least posting that it shares only.
+        Each list that holds several components has a hub, its commonest node,
+        with which all its nodes have been compared.  What two nodes can share is
+        bounded twice, and a pair is met only where a bound allows it, in a second
+        inverted join on rare shingles (``_met``): by their sets as they are, and
+        by what sets them apart from a hub that both resemble.  Nodes that hold
+        too many shingles of their own drop out first.
         """
-        labelled = posts.join(comps, "node", "left").select("node", "tokens", F.coalesce("comp", "node").alias("comp"))
-        lists = labelled.select(F.explode("tokens").alias("token"), "node", "comp")
-        mixed = stored(lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"), "mixed")
-        open_ = stored(lists.join(mixed, "token").groupBy("node", "comp").agg(F.sort_array(F.collect_list("token")).alias("tokens")), "open")
-        if open_.isEmpty():
+        labelled = posts.join(comps, "node", "left").select("node", "common", "tokens", F.coalesce("comp", "node").alias("comp"))
+        lists = labelled.select(F.explode("tokens").alias("token"), "node", "common", "comp")
+        tops = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("common", -F.col("node"), "comp")).alias("top"))
+        mixed = stored(tops.where("lo <> hi").select("token", (-F.col("top.col2")).alias("hub"), F.col("top.comp").alias("hub_comp")), "mixed")
+        spokes = stored(lists.join(mixed, "token").select("node", "comp", "hub", "hub_comp").distinct(), "spokes")
+        if spokes.isEmpty():
             return None
+        open_ = spokes.select("node", "comp").distinct()
         sets = self.sets(open_, nodes.select("node", "doc_id", "text_hash"))
         alone = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
-        sized = open_.join(sets.select("node", F.size("items").alias("s")), "node").join(alone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).where(100 * (F.col("s") - F.col("u")) >= self.percent * F.col("s"))
-        live = stored(sized.withColumn("token", F.explode("tokens")), "live")
-        x, y = live.alias("x"), live.alias("y")
-        meet = (
-            (F.col("x.token") == F.col("y.token"))
-            & (F.col("x.comp") < F.col("y.comp"))
-            & (100 * F.least(F.expr("x.s - x.u"), F.expr("y.s - y.u")) >= self.percent * F.greatest(F.expr("x.s + y.u"), F.expr("y.s + x.u")))
-            & (F.array_min(F.array_intersect("x.tokens", "y.tokens")) == F.col("x.token"))
-        )
-        return self.matching(x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), nodes), sets
+        s, u = F.size("items"), F.coalesce("u", F.lit(0))
+        live = sets.join(alone, "node", "left").where(100 * (s - u) >= self.percent * s).select("node", "items")
+        live = stored(live.join(open_, "node"), "live")
+        x = spokes.select("node", "hub", (F.col("comp") == F.col("hub_comp")).alias("inner"))
+        x = x.join(live, "node").join(sets.select(F.col("node").alias("hub"), F.col("items").alias("of_hub")), "hub")
+        d = F.concat(F.array_except("items", "of_hub"), F.array_except("of_hub", "items"))
+        near = x.select("node", "comp", "hub", "inner", F.size("items").alias("s"), F.size("of_hub").alias("h"), d.alias("d"))
+        near = stored(near.withColumn("shared", (F.col("s") + F.col("h") - F.size("d")) / 2).withColumn("like", F.col("shared") / (F.col("s") + F.col("h") - F.col("shared"))), "near")
+        # a linked pair is less than 1 - percent / 100 apart in likeness to any third set
+        far = near.where(F.col("like") < RESEMBLES + (100 - self.percent) / 100).select("node").distinct()
+        plain = live.join(far, "node").select("node", "comp", F.lit(-1).cast("long").alias("hub"), F.lit(0).alias("side"), F.col("items").alias("d"), (-F.floor(-F.size("items") * self.percent / 100)).cast("long").alias("need"))
+        a, b = 100 + self.percent, 100 - self.percent
+        grown = F.size("d") * a - b * F.col("s")
+        tight = F.floor((grown + b * F.col("h")) / (2 * a)) + 1  # the other one is not linked with the hub
+        loose = F.greatest(F.lit(1).cast("long"), -F.floor(-(grown - b * F.col("h")) / (2 * a)))  # it may be
+        alike = near.where((F.col("like") >= RESEMBLES) & (F.size("d") > 0))
+        outer = alike.where("NOT inner").select("node", "comp", "hub", F.lit(0).alias("side"), "d", tight.alias("need"))
+        across = alike.select("node", "comp", (-F.col("hub") - 2).alias("hub"), F.when(F.col("inner"), 1).otherwise(2).alias("side"), "d", F.when(F.col("inner"), tight).otherwise(loose).alias("need"))
+        met = self._met(stored(plain.unionByName(outer).unionByName(across), "bounded"))
+        return met, sets
+
+    def _met(self, rows: DataFrame) -> DataFrame:
+        """Pairs (a, b) of rows (node, comp, hub, side, d, need) that may share ``need`` elements of their ``d``.
+
+        Rows meet under one hub, from different components and, where sides are
+        told apart, from different sides.  Elements that meet none are ordered
+        first, the rest rarest first: whoever shares ``need`` elements shares one
+        of the first |d| - need + 1, so only these are posted.
+        """
+        key = F.xxhash64("hub", "e")
+        held = rows.select("node", "comp", "hub", "side", "need", F.size("d").alias("size"), F.explode("d").alias("e")).withColumn("key", key).drop("e")
+        told = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("side").alias("least"), F.max("side").alias("most"), F.count("*").alias("n"))
+        told = told.where("lo <> hi AND (most = 0 OR least <> most)").select("key", "n")
+        by_node = held.join(told, "key").groupBy("node", "comp", "hub", "side", "need", "size").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
+        posted = by_node.where(F.size("keys") >= F.col("need")).withColumn("spare", F.size("keys") - F.col("need"))
+        posted = posted.select("node", "comp", "side", "size", "need", "spare", F.explode(F.slice("keys", F.lit(1), (F.col("spare") + 1).cast("int"))).alias("k"))
+        posted = stored(posted.withColumn("key", F.col("k.key")).drop("k"), "posted")
+        x, y = posted.alias("x"), posted.alias("y")
+        meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & ((F.col("x.side") != F.col("y.side")) | ((F.col("x.side") == 0) & (F.col("y.side") == 0)))
+        ends = x.join(y, meet).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        return stored(ends.distinct(), "pairs")
+
+
+#: Likeness to a hub from which on nodes are told apart by how they differ from it.
+RESEMBLES = 0.2
+
+
+def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of each row."""
+    with temporary(docs.sparkSession) as lasting:
+        run = _Run(docs, width, percent, id_col, text_col)
+        signed = run.signed()
+        firsts = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"), F.min("doc_id").alias("least_id"))
+        firsts = stored(firsts, "firsts")
+        nodes = stored(signed.join(firsts.select(F.col("node").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("node"), "doc_id", "text_hash", "sign"), "nodes")
+        keys = nodes.select("node", "doc_id", "text_hash")
+        posts = run.postings(nodes)
+        pairs = run.star_pairs(posts, nodes)
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        links = run.confirmed(pairs, run.sets(ends, keys))
+        comps = components(links)
+        cross = run.cross_pairs(posts, comps, nodes)
+        if cross is not None:
+            more = run.confirmed(*cross)
+            if not more.isEmpty():
+                comps = components(links.unionByName(more))
+        least = comps.join(firsts.select("node", "least_id"), "node").groupBy("comp").agg(F.min("least_id").alias("component_id"))
+        grouped = comps.join(least, "comp").select("node", "component_id")
+        by_set = firsts.join(grouped, "node", "left").select("digest", F.coalesce("component_id", "least_id").alias("component_id"))
+        out = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(by_set, "digest", "left")
+        component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return lasting(out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")), "classes")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,39 +283,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Equal sets become one node.  Nodes are posted under their rarest signature
     coordinates; in each list all are compared with the list's commonest node,
     which settles dense groups in linear work.  What then shares a list across
-    components is compared directly (``cross_pairs``).  Signatures only select:
-    links are confirmed on full sets.
+    components is met again by rare shingles (``cross_pairs``).  Signatures only
+    select: links are confirmed on full sets.
     """
-    run = _Run(docs, width, percent, id_col, text_col)
-    signed = run.signed()
-    firsts = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"), F.min("doc_id").alias("least_id"))
-    firsts = stored(firsts, "firsts")
-    nodes = stored(signed.join(firsts.select(F.col("node").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("node"), "doc_id", "text_hash", "sign"), "nodes")
-    keys = nodes.select("node", "doc_id", "text_hash")
-    posts = run.postings(nodes)
-    pairs = run.star_pairs(posts, nodes)
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    links = run.confirmed(pairs, run.sets(ends, keys))
-    comps = components(links)
-    cross = run.cross_pairs(posts, comps, nodes)
-    if cross is not None:
-        more = run.confirmed(*cross)
-        comps = components(links.unionByName(more))
-    least = comps.join(firsts.select("node", "least_id"), "node").groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    grouped = comps.join(least, "comp").select("node", "component_id")
-    by_set = firsts.join(grouped, "node", "left").select("digest", F.coalesce("component_id", "least_id").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(by_set, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = _classes(docs, width, percent, id_col, text_col).drop("text_hash")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, all columns; rows without an id stay.
 
-    Texts without words are linked with nothing, so they stay too.
+    Texts without words are linked with nothing, so they stay too.  An id that
+    stands under several texts is told apart by the text: the row of one text may
+    go while another's stays.
     """
-    gone = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    gone = _classes(docs, width, percent, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__text")).distinct()
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col("__gone")) & (F.xxhash64(text_col) == F.col("__text")), "left_anti")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

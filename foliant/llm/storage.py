@@ -3,17 +3,32 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Only for sessions that name no shared folder (tests, single machines).
+#: Only for a single machine that names no shared folder.
 LOCAL_FALLBACK = "/tmp/checkpoints"
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``, else a folder of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or LOCAL_FALLBACK).rstrip("/")
+    """The cluster's shared folder, ``spark.checkpoint.dir``; a folder of our own where all tasks run on this machine.
+
+    A cluster that names none is an error: what one executor wrote to its own
+    disk no other could read.
+    """
+    conf = spark.sparkContext.getConf()
+    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+    if not named:
+        master = conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = LOCAL_FALLBACK
+    return named.rstrip("/")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -24,18 +39,42 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliant-{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``stored`` made and nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/foliant-" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, name)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at the end, but for those stored by the function that this yields."""
+    made: list[str] = []
+    token = _made.set(made)
+
+    def lasting(df: DataFrame, label: str) -> DataFrame:
+        out = stored(df, label)
+        made.pop()
+        return out
+
+    try:
+        yield lasting
+    finally:
+        _made.reset(token)
+        for name in made:
+            _delete(spark, name)
 
 
 def shuffle_width(spark: SparkSession) -> int:
