@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import stored, temporary
 
 #: The contract's patterns, with possessive loops and run starts so that no text, however long, backtracks.
 _LOCAL = "A-Za-z0-9._%+-"
@@ -19,17 +19,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*PATTERNS, "term"]
-#: Code points of context on either side of an entity in which its terms are sought.
-CONTEXT = 60
-#: Terms are words of at least four letters or digits that start with a letter.
-TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
-#: A pair of term and exact entity counts if it is seen in so many different texts; a term
-#: of a whole kind has no such bound, its degree is smoothed.  A term
-#: discloses if PMI / IC(entity) reaches GENERALISE, and is removed from REMOVE on.
-SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
+#: Terms are runs of letters and digits that start with a letter.
+TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]*+"
+#: A term discloses an entity if PMI(term; entity) reaches this share of the entity's information content.
+DISCLOSES = 0.9
+#: Letters of the endings to which a disclosing term may be generalised, longest first.
+ENDINGS = (4, 3, 2)
+#: Code points of the chunks in which a long text is cut.
+CHUNK = 2048
 _BLOCK = 256
-#: Spans on either side of a span against which its terms are held at once; the result is held against all.
-_NEIGHBOURS = 16
 
 
 def _total(a: Column) -> Column:
@@ -103,135 +101,160 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _clear(terms: Column, spans: Column) -> Column:
-    """The terms that overlap none of the spans."""
-    return F.filter(terms, lambda t: ~F.exists(spans, lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
-
-
-def _context_terms(text: Column, spans: Column) -> Column:
-    """array<struct<rank,value,term,start,end>>: the terms beside each base span."""
-
-    def beside(s: Column, i: Column) -> Column:
-        close = F.slice(spans, F.greatest(F.lit(1), i - _NEIGHBOURS), F.lit(2 * _NEIGHBOURS + 2))
-        lo = F.greatest(F.lit(0).cast("long"), s["start"] - CONTEXT)
-        sides = F.array(
-            F.struct(lo.alias("at"), F.substring(text, (lo + 1).cast("int"), (s["start"] - lo).cast("int")).alias("part"), (lo == 0).alias("from_start"), F.lit(True).alias("to_end")),
-            F.struct(s["end"].alias("at"), F.substring(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT)).alias("part"), F.lit(True).alias("from_start"), (s["end"] + CONTEXT >= F.length(text)).alias("to_end")),
-        )
-
-        def of_side(c: Column) -> Column:
-            build = lambda m, at: F.struct(s["rank"].alias("rank"), s["value"].alias("value"), F.lower(m).alias("term"), (c["at"] + at).alias("start"), (c["at"] + at + F.length(m)).alias("end"))
-            # a word that touches the outer edge may be cut there
-            whole = lambda t: ((t["start"] > c["at"]) | c["from_start"]) & ((t["end"] < c["at"] + F.length(c["part"])) | c["to_end"])
-            return F.filter(_positions(c["part"], TERM, build), whole)
-
-        return _clear(F.flatten(F.transform(sides, of_side)), close)
-
-    return F.when(F.size(spans) > 0, F.flatten(F.transform(spans, beside))).otherwise(F.array().cast("array<struct<rank:int,value:string,term:string,start:bigint,end:bigint>>"))
-
-
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def _scanned(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
-    """uid, doc_id, base, near, text_hash of each row, stored; ``row`` too if the whole row is asked for."""
+    """uid, doc_id, base, text (of rows with base spans only), stored; ``row`` too if the whole row is asked for."""
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-    columns = ["doc_id", "base", _context_terms(F.col("text"), F.col("base")).alias("near"), F.when(F.size("base") > 0, F.xxhash64("text")).alias("text_hash")]
+    columns = ["doc_id", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")]
     return stored(rows.select(*columns, *(["row"] if whole else [])).withColumn("uid", F.monotonically_increasing_id()), "spans")
 
 
-def disclosing_terms(scanned: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """rank, value, term, degree: terms that reveal an entity, or any entity of its kind (value null), by corpus co-occurrence.
-
-    Over all documents, with p(t), p(e) the shares of documents that hold the
-    term and the entity and p(t, e) those where the term stands beside it,
-    degree = PMI(t; e) / -log p(e), which is 1 if the term never occurs without
-    the entity.  Most entities are unique, so e is also every entity of a kind
-    at once; that degree is smoothed by one text in which the two have nothing to
-    do with each other.  Counts are sums, so no group is gathered in one task.
+def _occurrences(scanned: DataFrame) -> DataFrame:
+    """uid, term, start, end: every word of the texts that hold base spans."""
+    found = F.regexp_extract_all("text", F.lit(TERM), 0)
+    gaps = F.transform(F.split("text", TERM, -1), lambda g: F.length(g).cast("long"))
+    words = scanned.where(F.size("base") > 0).select("uid", F.posexplode(F.arrays_zip(found.alias("m"), gaps.alias("g"))).alias("i", "w")).where("w.m IS NOT NULL")
+    words = words.select("uid", "i", F.col("w.m").alias("m"), F.length("w.m").cast("long").alias("n"), F.col("w.g").alias("g"))
+    up_to = Window.partitionBy("uid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("n") + F.col("g")).over(up_to)
+    return words.withColumn("end", end).select("uid", F.lower("m").alias("term"), (F.col("end") - F.col("n")).alias("start"), "end")
+
+
+def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """term, with_term: how many documents hold each word."""
+    words = F.transform(F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TERM), 0)), F.lower)
+    return docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
+
+
+def disclosing_terms(scanned: DataFrame, occurrences: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """uid, term, content: the terms of each document that reveal an entity in it, with the least content of those entities.
+
+    One event space: documents.  p(t), p(e) and p(t, e) are the shares of
+    ``total`` documents that hold the term, the entity, and both anywhere in
+    their texts.  A term discloses an entity if PMI(t; e) = log p(t, e) / (p(t) p(e))
+    reaches DISCLOSES of the entity's content, -log p(e); at 1 the term never
+    occurs without the entity.  Entities are the values of base spans and, since
+    most values are unique, every kind as a whole, whose degree is smoothed by one
+    document in which the two have nothing to do with each other.  Values that
+    stand in the same documents are one entity, so a text full of them costs no
+    more than its words.  Pairs that the counts alone rule out are never met, and
+    counts are sums, so no group is gathered in one task.
     """
-    near = scanned.select("uid", "text_hash", F.explode("near").alias("t")).select("uid", "text_hash", "t.rank", "t.value", "t.term")
-    base = scanned.select("uid", F.explode("base").alias("s")).select("uid", "s.rank", "s.value")
-
-    def together(keys: list[str]) -> DataFrame:
-        # distinct texts per pair first, then documents
-        per_text = near.select("uid", "text_hash", *keys, "term").distinct().groupBy(*keys, "term", "text_hash").agg(F.count("*").alias("docs"))
-        return per_text.groupBy(*keys, "term").agg(F.sum("docs").alias("both"), F.count("*").alias("texts"))
-
-    held = lambda keys: base.select("uid", *keys).distinct().groupBy(*keys).agg(F.count("*").alias("with_entity"))
-    exact = together(["rank", "value"]).where(F.col("texts") >= SUPPORT).join(held(["rank", "value"]), ["rank", "value"]).withColumn("trust", F.lit(1.0))
-    kinds = together(["rank"]).join(F.broadcast(held(["rank"])), "rank")  # a row per kind
-    kinds = kinds.withColumn("value", F.lit(None).cast("string")).withColumn("trust", F.col("texts") / (F.col("texts") + 1))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), 0))
-    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    total = docs.agg(F.count("*").alias("total"))
-    scored = exact.unionByName(kinds).join(counts, "term").crossJoin(F.broadcast(total))  # one row
-    p_e = F.col("with_entity") / F.col("total")
-    pmi = F.log(F.least(F.lit(1.0), F.col("both") / F.col("with_term")) / p_e)
-    return scored.withColumn("degree", F.when(p_e < 1, F.col("trust") * pmi / -F.log(p_e))).where(F.col("degree") >= GENERALISE).select("rank", "value", "term", "degree")
-
-
-def _with_terms(scanned: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """uid, terms (array<struct<start,rank,end,degree>>) of the rows that have any."""
-    found = scanned.select("uid", F.explode("near").alias("t")).select("uid", "t.*")
-    told = stored(disclosing_terms(scanned, docs, text_col), "terms")
-    of_value = found.join(told.where("value IS NOT NULL"), ["rank", "value", "term"])
-    of_kind = found.join(told.where("value IS NULL").drop("value"), ["rank", "term"])
-    hits = of_value.select("uid", "start", "end", "degree").unionByName(of_kind.select("uid", "start", "end", "degree")).groupBy("uid", "start", "end").agg(F.max("degree").alias("degree"))
-    rank = F.lit(KINDS.index("term")).alias("rank")
-    return hits.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", rank, "end", "degree"))).alias("terms"))
-
-
-_NO_TERMS = "CAST(array() AS array<struct<start:bigint,rank:int,end:bigint,degree:double>>)"
-
-
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base, terms: spans of every row, in code points, end exclusive.
-
-    Null and empty texts have no spans; term spans lie only beside a base span
-    and never overlap one.
+    values = scanned.select("uid", F.explode(F.array_distinct(F.transform("base", lambda s: F.struct(s["rank"].alias("rank"), s["value"].alias("value"))))).alias("e")).select("uid", "e.rank", "e.value")
+    by_value = values.groupBy("rank", "value").agg(F.count("*").alias("with_entity"), F.bit_xor(F.xxhash64("uid")).alias("entity"))
+    own = values.join(by_value, ["rank", "value"]).select("uid", F.lit(False).alias("kind"), "entity", "with_entity").distinct()
+    kinds = values.select("uid", "rank").distinct()
+    by_kind = kinds.groupBy("rank").agg(F.count("*").alias("with_entity"))  # a row per kind
+    whole = kinds.join(F.broadcast(by_kind), "rank").select("uid", F.lit(True).alias("kind"), F.col("rank").cast("long").alias("entity"), "with_entity")
+    n = F.lit(float(total))
+    content = F.log(n / F.col("with_entity"))
+    holders = own.unionByName(whole).where(F.col("with_entity") < total).withColumn("content", content)
+    terms = occurrences.select("uid", "term").distinct().join(counts, "term")
+    possible = (F.col("with_term") < F.col("with_entity")) | (F.log(n / F.col("with_term")) >= DISCLOSES * F.col("content") - 1e-9)
+    met = stored(holders.join(terms, "uid").where(possible), "met")
+    keys = ["kind", "entity", "with_entity", "term"]
+    both = met.groupBy(*keys).agg(F.count("*").alias("both"), F.first("with_term").alias("with_term"), F.first("content").alias("content"))
+    pmi = F.log(n * F.col("both") / (F.col("with_term") * F.col("with_entity")))
+    trust = F.when(F.col("kind"), F.col("both") / (F.col("both") + 1)).otherwise(1.0)
+    told = both.where(trust * pmi >= DISCLOSES * F.col("content") - 1e-9).select(*keys)
+    return met.join(told, keys).groupBy("uid", "term").agg(F.min("content").alias("content"))
+
+
+def generalised(flagged: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """uid, term, put: the ending that stands for the term's class of words, or nothing where every class discloses too.
+
+    The class of an ending are all corpus words with that ending; it is at least
+    as common as its commonest word, so its PMI with an entity is at most
+    log(total / that count).  The longest ending for which this bound stays below
+    DISCLOSES of the entity's content, and which several words share, is taken.
     """
-    scanned = _scanned(docs, id_col, text_col)
-    return scanned.select("uid", "doc_id", "base").join(_with_terms(scanned, docs, text_col), "uid", "left").select("doc_id", "base", _clear(F.coalesce("terms", F.expr(_NO_TERMS)), F.col("base")).alias("terms"))
+    ends = lambda c: F.filter(F.array(*[F.when(F.length(c) > k, F.right(c, F.lit(k))) for k in ENDINGS]), lambda e: e.isNotNull())
+    classes = counts.select(F.explode(ends(F.col("term"))).alias("ending"), "with_term").groupBy("ending").agg(F.max("with_term").alias("most"), F.count("*").alias("words")).where("words > 1")
+    asked = flagged.select("uid", "term", "content", F.explode_outer(ends(F.col("term"))).alias("ending"))
+    fits = F.log(F.lit(float(total)) / F.col("most")) < DISCLOSES * F.col("content")
+    best = asked.join(classes, "ending", "left").withColumn("fit", F.when(fits, F.concat(F.lit("[-"), "ending", F.lit("]"))))
+    return best.groupBy("uid", "term").agg(F.coalesce(F.max_by("fit", F.when(F.col("fit").isNotNull(), F.length("fit"))), F.lit("")).alias("put"))
+
+
+def _all_spans(scanned: DataFrame, terms: DataFrame) -> DataFrame:
+    """uid, start, rank, end, put, before: base spans and the terms (uid, start, end, put) that overlap none of them.
+
+    ``before`` is the furthest end of the spans in front, 0 at first.
+    """
+    labels = F.array(*[F.lit(f"[{k.upper()}]") for k in PATTERNS])
+    base = scanned.select("uid", F.explode("base").alias("s")).select("uid", "s.start", "s.rank", "s.end", F.element_at(labels, F.col("s.rank") + 1).alias("put"))
+    every = base.unionByName(terms.select("uid", "start", F.lit(KINDS.index("term")).alias("rank"), "end", "put"))
+    w = Window.partitionBy("uid").orderBy("start", "rank", "end")
+    is_base = F.col("rank") < KINDS.index("term")
+    front = F.coalesce(F.max(F.when(is_base, F.col("end"))).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = F.min(F.when(is_base, F.col("start"))).over(w.rowsBetween(1, Window.unboundedFollowing))
+    clear = every.withColumn("front", front).withColumn("ahead", ahead).where(is_base | ((F.col("front") <= F.col("start")) & (F.coalesce(F.col("ahead") >= F.col("end"), F.lit(True)))))
+    before = F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return clear.select("uid", "start", "rank", "end", "put").withColumn("before", before)
+
+
+def _found(scanned: DataFrame, docs: DataFrame, text_col: str, labels: bool) -> DataFrame:
+    """The spans of ``_all_spans`` over ``docs``; ``put`` of terms only if ``labels`` are asked for."""
+    total = scanned.count()
+    occurrences = stored(_occurrences(scanned), "words")
+    counts = stored(word_counts(docs, text_col), "counts")
+    flagged = disclosing_terms(scanned, occurrences, counts, total)
+    told = generalised(stored(flagged, "terms"), counts, total) if labels else flagged.select("uid", "term", F.lit("").alias("put"))
+    return _all_spans(scanned, occurrences.join(told, ["uid", "term"]).select("uid", "start", "end", "put"))
 
 
 def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row."""
-    found = find_personal_data(docs, id_col, text_col)
-    plain = lambda a: F.transform(F.col(a), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
-    every = F.array_sort(F.concat(plain("base"), plain("terms")))
-    number = lambda r: F.size(F.filter("base", lambda s: s["rank"] == r)).cast("long")
-    return found.select("doc_id", *[number(r).alias(f"n_{k}") for r, k in enumerate(PATTERNS)], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"))
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row.
+
+    Spans are in code points, end exclusive.  Null and empty texts have none;
+    term spans lie only in documents that hold a base span and never overlap one.
+    Repeated rows count as documents of their own; null ids are kept.
+    """
+    with temporary(docs.sparkSession) as lasting:
+        scanned = _scanned(docs, id_col, text_col)
+        spans = _found(scanned, docs, text_col, labels=False)
+        every = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end"))).alias("every"))
+        number = lambda r: F.size(F.filter("base", lambda s: s["rank"] == r)).cast("long")
+        rows = scanned.drop("text").join(every, "uid", "left")
+        none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint>>")
+        return lasting(rows.select("doc_id", *[number(r).alias(f"n_{k}") for r, k in enumerate(PATTERNS)], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.coalesce("every", none)).alias("spans")), "found")
+
+
+def _piece(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of a text held in chunks of CHUNK."""
+    a, b = F.floor(start / CHUNK).cast("int"), F.floor(end / CHUNK).cast("int")
+    low, high = (start - a * CHUNK).cast("int"), (end - b * CHUNK).cast("int")
+    at = lambda k: F.coalesce(F.get(chunks, k), F.lit(""))
+    inner = F.array_join(F.slice(chunks, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+    return F.when(a == b, F.substring(at(a), low + 1, high - low)).otherwise(F.concat(F.substring(at(a), low + 1, F.lit(CHUNK)), inner, F.substring(at(b), F.lit(1), high)))
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data out of the text: base spans become ``[EMAIL]`` and so on.
 
-    A term of degree ``REMOVE`` or more is removed, a lesser one becomes
-    ``[TERM]``.  Where spans overlap, the first is replaced and the rest of the
-    overlap goes with it.  All other columns stay, but for
-    ``count_col``, which gets the length of a text that changed; null texts stay
-    null.
+    A disclosing term becomes the ending of a class of words that does not
+    disclose, ``[-ing]``, or goes where there is none (``generalised``).  Where
+    spans overlap, the first is replaced and the rest of the overlap goes with it.
+    Documents without a base span stay as they are, and so do all other columns
+    but for ``count_col``, which gets the length of a text that changed; null
+    texts stay null.
     """
     names = docs.columns
-    scanned = _scanned(docs, id_col, text_col, whole=True)
-    plain = scanned.where(F.size("base") == 0).select("row.*")
-    put = lambda s, what: F.struct(s["start"].alias("start"), s["end"].alias("end"), what.alias("put"))
-    labels = F.array(*[F.lit(f"[{k.upper()}]") for k in PATTERNS])
-    base = F.transform("base", lambda s: put(s, F.element_at(labels, s["rank"] + 1)))
-    terms = F.transform(_clear(F.coalesce("terms", F.expr(_NO_TERMS)), F.col("base")), lambda s: put(s, F.when(s["degree"] >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))))
-    edit = F.expr(
-        """aggregate(cuts, CAST(named_struct('out', '', 'at', 0L) AS struct<out:string,at:bigint>),
-             (a, c) -> IF(c.start >= a.at,
-               named_struct('out', concat(a.out, substring(old, CAST(a.at AS INT) + 1, CAST(c.start - a.at AS INT)), c.put), 'at', c.end),
-               named_struct('out', a.out, 'at', greatest(a.at, c.end))),
-             a -> concat(a.out, substring(old, CAST(a.at AS INT) + 1)))"""
-    )
-    touched = scanned.where(F.size("base") > 0).join(_with_terms(scanned, docs, text_col), "uid", "left")
-    touched = touched.select("row", F.col(f"row.`{text_col}`").alias("old"), F.array_sort(F.concat(base, terms)).alias("cuts")).withColumn("new", edit)
-    changed = {text_col: F.col("new"), count_col: F.length("new").cast("long")}
-    return plain.unionByName(touched.select(*[changed[n].alias(n) if n in changed else F.col(f"row.`{n}`").alias(n) for n in names]))
+    with temporary(docs.sparkSession) as lasting:
+        scanned = _scanned(docs, id_col, text_col, whole=True)
+        spans = _found(scanned, docs, text_col, labels=True)
+        cuts = spans.groupBy("uid").agg(F.max("end").alias("tail"), F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("before"), F.struct("before", "start", "put")))).alias("cuts"))
+        steps = F.sequence(F.lit(0), F.floor(F.length("text") / CHUNK).cast("int"))
+        chunks = F.transform(steps, lambda k: F.substring("text", k * CHUNK + 1, F.lit(CHUNK)))
+        touched = scanned.join(cuts, "uid").select("row", "tail", "cuts", F.length("text").cast("long").alias("n"), chunks.alias("chunks"))
+        kept = F.transform("cuts", lambda c: F.concat(_piece(F.col("chunks"), c["before"], c["start"]), c["put"]))
+        touched = touched.select("row", F.concat(F.array_join(kept, ""), _piece(F.col("chunks"), F.col("tail"), F.col("n"))).alias("new"))
+        changed = {text_col: F.col("new"), count_col: F.length("new").cast("long")}
+        done = touched.select(*[changed[n].alias(n) if n in changed else F.col(f"row.`{n}`").alias(n) for n in names])
+        return lasting(scanned.where(F.size("base") == 0).select("row.*").unionByName(done), "sanitised")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
