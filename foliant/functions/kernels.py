@@ -5,9 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,7 +60,7 @@ def truncate_repetitions(s: str | None, least: int = 30) -> str | None:
         end -= p
     tail, kept = low[end:], end
     while True:
-        after = min((k for k in (low.find(c, kept + 1) for c in _ENDS) if k >= 0), default=0)
+        after = min((k for k in (low.find(c, kept) for c in _ENDS) if k >= 0), default=0)
         before = max((low.rfind(c, 1, kept) for c in _ENDS), default=-1)
         if not after or before < 0:
             break
@@ -72,63 +70,11 @@ def truncate_repetitions(s: str | None, least: int = 30) -> str | None:
     return s[:kept]
 
 
-class _Article(HTMLParser):
-    """Blocks of the first article as (kind, level, text); text outside it is not read."""
-
-    _BLOCKS = {"p", "li", *(f"h{i}" for i in range(1, 7))}
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.inside, self.muted, self.kind, self.text, self.blocks = 0, 0, "p", [], []
-
-    def _close(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            self.blocks.append((self.kind, text))
-        self.kind, self.text = "p", []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.inside += tag == "article"
-        self.muted += tag in ("script", "style")
-        if tag in self._BLOCKS:
-            self._close()
-            self.kind = tag
-        elif tag == "br":
-            self.text.append("\n")
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in self._BLOCKS or tag == "article":
-            self._close()
-        self.inside -= tag == "article" and self.inside > 0
-        self.muted -= tag in ("script", "style") and self.muted > 0
-
-    def handle_data(self, data: str) -> None:
-        if self.inside and not self.muted:
-            self.text.append(data)
-
-
-def html_to_markup(html: str | None) -> str | None:
-    """Tagged lines of a page's article; a page without one gives an empty text."""
-    if html is None:
-        return None
-    reader = _Article()
-    reader.feed(html)
-    reader.close()
-    reader._close()
-    lines = []
-    for kind, text in reader.blocks:
-        if kind[0] == "h":
-            lines.append(f"[TITLE]# {text}[END_TITLE]" if kind == "h1" else f"[SUBTITLE]{'#' * int(kind[1])} {text}[END_SUBTITLE]")
-        else:
-            lines.append(f"[TEXT]{'* ' * (kind == 'li')}{text}[END_TEXT]")
-    return "\n".join(lines)
-
-
 def column(kernel: Callable, kind: str, *inputs: Column) -> Column:
-    """``kernel`` over Arrow batches of the input columns."""
+    """``kernel`` over Arrow batches of the input columns, arrays as lists; any SQL type may come back."""
 
-    @F.pandas_udf(kind)
-    def run(*series: pd.Series) -> pd.Series:
-        return pd.Series([kernel(*[None if x is None or x is pd.NA else x for x in row]) for row in zip(*series, strict=True)], dtype=object if kind == "string" else "Float64")
+    @F.udf(kind, useArrow=True)
+    def run(*row):
+        return kernel(*row)
 
     return run(*inputs)

@@ -14,10 +14,24 @@ def best_of(rows: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     return rows.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
 
-def offsets(rows: DataFrame, by: list[str], order: list[str], line: str) -> DataFrame:
-    """``offset``: UTF-8 bytes in front of each line of its file, newlines counted."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum(F.octet_length(line) + 1).over(w), F.lit(0)).cast("long"))
+#: Lines of one block of a file, whose offsets are found in one task.
+BLOCK = 4096
+
+
+def offsets(rows: DataFrame, by: list[str], order: str, line: str) -> DataFrame:
+    """``offset``: UTF-8 bytes in front of each line of its file, newlines counted; ``order`` is a line number.
+
+    Blocks of lines are summed first, and only their sums are cumulated over a
+    whole file, so a file of any length is many tasks.
+    """
+    size = F.coalesce(F.octet_length(line), F.lit(0)) + 1
+    blocked = rows.withColumn("__block", F.floor(F.col(order) / BLOCK))
+    sums = blocked.groupBy(*by, "__block").agg(F.sum(size).alias("__bytes"))
+    front = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.withColumn("__before", F.coalesce(F.sum("__bytes").over(front), F.lit(0))).drop("__bytes")
+    inside = Window.partitionBy(*by, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocked.withColumn("__inside", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(before, [*by, "__block"])
+    return placed.withColumn("offset", (F.col("__before") + F.col("__inside")).cast("long")).drop("__block", "__before", "__inside")
 
 
 def split_papers(samples: DataFrame, id_col: str, train: float = 0.8, validation: float = 0.1, seed: str = "42") -> DataFrame:

@@ -32,11 +32,22 @@ def column_extents(boxes: DataFrame) -> DataFrame:
     )
 
 
+#: Height of the bands in which a page's boxes meet; most boxes lie in one or two.
+BAND = 256
+
+
 def overlapping(boxes: DataFrame, least: float) -> DataFrame:
-    """page_id, a, b, iou, in_a, in_b: pairs of one page's boxes that overlap by ``least``."""
-    x, y = boxes.alias("x"), boxes.alias("y")
+    """page_id, a, b, iou, in_a, in_b: pairs of one page's boxes that overlap by ``least``.
+
+    Boxes meet in horizontal bands of the page and a pair counts in the first
+    band that both reach, so a page of many boxes is many tasks and only
+    neighbours are compared.
+    """
+    banded = boxes.withColumn("band", F.explode(F.sequence(F.floor(F.col("y1") / BAND), F.floor(F.col("y2") / BAND))))
+    x, y = banded.alias("x"), banded.alias("y")
     a, b = G.box("x"), G.box("y")
-    pairs = x.join(y, (F.col("x.page_id") == F.col("y.page_id")) & (F.col("x.box_id") < F.col("y.box_id")) & (a[0] < b[2]) & (b[0] < a[2]) & (a[1] < b[3]) & (b[1] < a[3]))
+    first = F.col("x.band") == F.floor(F.greatest(a[1], b[1]) / BAND)
+    pairs = x.join(y, (F.col("x.page_id") == F.col("y.page_id")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.box_id") < F.col("y.box_id")) & first & (a[0] < b[2]) & (b[0] < a[2]) & (a[1] < b[3]) & (b[1] < a[3]))
     both = G.overlap(a, b)
     out = pairs.select(F.col("x.page_id").alias("page_id"), F.col("x.box_id").alias("a"), F.col("y.box_id").alias("b"), F.round(G.iou(a, b), 6).alias("iou"), F.round(both / G.area(a), 6).alias("in_a"), F.round(both / G.area(b), 6).alias("in_b"))
     return out.where(F.col("iou") >= least)

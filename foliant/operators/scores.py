@@ -9,10 +9,11 @@ from foliant.functions import metrics as M
 
 
 def micro_prf(counts: DataFrame, by: list[str]) -> DataFrame:
-    """Micro precision, recall and F1 from sums of ``tp``, ``predicted``, ``truth``; zeros where nothing divides."""
+    """Micro precision, recall and F1 from sums of ``tp``, ``predicted``, ``truth``; zeros where nothing divides, null where there is nothing at all."""
     sums = counts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("tp", "predicted", "truth")])
     p, r = M.share(F.col("tp"), F.col("predicted")), M.share(F.col("tp"), F.col("truth"))
-    return sums.select(*by, F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(M.share(2 * p * r, p + r), 6).alias("f1"))
+    some = (F.col("predicted") > 0) | (F.col("truth") > 0)
+    return sums.select(*by, *[F.when(some, F.round(c, 6)).alias(n) for n, c in (("precision", p), ("recall", r), ("f1", M.share(2 * p * r, p + r)))])
 
 
 def multiset_hits(predicted: DataFrame, truth: DataFrame, by: list[str], item: str) -> DataFrame:
@@ -48,3 +49,71 @@ def median_limits(rows: DataFrame, by: str, value: Column, factor: float = 5.0)
     medians = valued.groupBy(by).agg(F.percentile("v", F.lit(0.5)).alias("median"))
     spread = valued.join(medians, by).groupBy(by, "median").agg(F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5)).alias("mad"))
     return spread.select(by, F.round("median", 6).alias("median"), F.round(F.col("median") - factor * F.col("mad"), 6).alias("low"), F.round(F.col("median") + factor * F.col("mad"), 6).alias("high"))
+
+
+def binary_impurity(rows: DataFrame, by: list[str], positive: Column) -> DataFrame:
+    """by, n, gini: n - positives^2 / n."""
+    counts = rows.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(positive).alias("hits"))
+    return counts.select(*by, "n", F.round(F.col("n") - F.col("hits") * F.col("hits") / F.col("n"), 6).alias("gini"))
+
+
+def interval_impurity(rows: DataFrame, value: str, label: str, edges: list[float]) -> DataFrame:
+    """class, gini, step for intervals (edges[c], edges[c + 1]]: binary impurity of label c, and the sum with the next interval's.
+
+    An interval without rows has impurity 0; the last one has no step.
+    """
+    inside = F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(value))
+    held = rows.withColumn("class", F.size(inside) - 1).where((F.col("class") >= 0) & (F.col("class") < len(edges) - 1) & (F.col(value) <= edges[-1]))
+    found = binary_impurity(held, ["class"], F.col(label) == F.col("class")).select("class", "gini")
+    every = rows.sparkSession.range(len(edges) - 1).select(F.col("id").cast("int").alias("class")).join(found, "class", "left")
+    gini = F.coalesce("gini", F.lit(0.0))
+    return every.select("class", gini.alias("gini"), (gini + F.lead(gini).over(Window.orderBy("class"))).alias("step"))  # a row per class
+
+
+def reduced(impurities: DataFrame, how: str) -> DataFrame:
+    """Interval impurities as they are (none), or their sum or mean."""
+    if how == "none":
+        return impurities
+    return impurities.agg(({"sum": F.sum, "mean": F.avg}[how])("gini").alias("gini"))
+
+
+def filled_forward(rows: DataFrame, order: str, value: str) -> DataFrame:
+    """``value`` of classes without one from the class before, 0 in front of all; one row per class."""
+    before = F.last(value, ignorenulls=True).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn(value, F.coalesce(before, F.lit(0.0)))
+
+
+def repetition_cut(scores: DataFrame, by: str, pos: str, score: str, size: int = 15, least: int = 10, low: float = 0.045) -> DataFrame:
+    """by, n, cut: where a repeating tail begins; null if none does.
+
+    Spreads of full windows, the variance of each tail of ten spreads or more,
+    and the first tail below ``low``, if such tails are several and have no gap.
+    A cut in the last tenth is none, one before 30 is 0.
+    """
+    spreads = window_variance(scores, by, pos, score, size).withColumn("__k", F.row_number().over(Window.partitionBy(by).orderBy(pos)) - 1)
+    tails = suffix_variance(spreads, by, pos, "spread", "variation").withColumn("__left", F.count("*").over(Window.partitionBy(by)) - F.col("__k"))
+    small = F.when((F.col("__k") >= 1) & (F.col("__left") >= least) & (F.col("variation") < low), F.col("__k") - 1)
+    found = tails.groupBy(by).agg(F.min(small).alias("first"), F.max(small).alias("last"), F.count(small).alias("hits"))
+    sizes = scores.groupBy(by).agg(F.count("*").alias("n")).join(found, by, "left")
+    place = F.floor(F.least(F.greatest(F.col("first"), F.lit(1)) * 1.08 + 120, F.lit(4095.0))).cast("int")
+    whole = (F.col("hits") > 1) & (F.col("last") - F.col("first") + 1 == F.col("hits")) & (place / F.col("n") <= 0.9)
+    return sizes.select(by, "n", F.when(whole, F.when(F.col("first") < 30, 0).otherwise(place)).alias("cut"))
+
+
+def stop_step(scores: DataFrame, by: str, pos: str, score: str, size: int = 15, window: int = 200, low: float = 0.015) -> DataFrame:
+    """by, stop: the step at which generation is stopped; null if it is not.
+
+    Sample variance over the last ``size`` scores over their number, its sample
+    variance over the last ``window``; two steps in a row below ``low`` stop it,
+    as long as the place then set lies ahead.
+    """
+    w = Window.partitionBy(by).orderBy(pos)
+    near = w.rowsBetween(-(size - 1), 0)
+    spread = F.coalesce(F.var_samp(score).over(near) / F.count("*").over(near), F.lit(0.0))
+    step = F.row_number().over(w)
+    rows = scores.withColumn("spread", spread).withColumn("step", step)
+    rows = rows.withColumn("below", (F.col("step") >= window) & (F.coalesce(F.var_samp("spread").over(w.rowsBetween(-(window - 1), 0)), F.lit(0.0)) < low))
+    ahead = F.floor(F.least((F.col("step") - 1) * 1.15 + 150 + window, F.lit(4095.0)))
+    stops = rows.withColumn("stops", F.col("below") & F.coalesce(F.lag("below").over(w), F.lit(False)) & (ahead >= F.col("step")))
+    return stops.groupBy(by).agg(F.min(F.when(F.col("stops"), F.col("step"))).alias("stop"))
+

@@ -15,7 +15,7 @@ from .tables import BOXES, boxes, table
 
 
 def seek_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.offsets(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "text").select("conv_id", "turn", "offset")
+    return D.offsets(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text").select("conv_id", "turn", "offset")
 
 
 SEEK_MAP = "SELECT conv_id, turn, CAST(coalesce(sum(strlen(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM conversations"
@@ -102,16 +102,6 @@ SELECT lang, count(h.doc_id) AS recognised, count(*) AS total, round(100 * count
 FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) h USING (doc_id) GROUP BY ROLLUP (lang)"""
 
 
-def main_file_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One part of each brand: the preferred type first, then the least name."""
-    rank = F.when(F.col("p_type").like("%BRASS%"), 0).when(F.col("p_size") > 25, 1).otherwise(2)
-    return D.best_of(table(spark, sf_dir, "part"), ["p_brand"], [rank, F.col("p_name"), F.col("p_partkey")]).select("p_brand", "p_partkey", "p_name")
-
-
-MAIN_FILE_PICK = """
-SELECT p_brand, p_partkey, p_name FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY CASE WHEN p_type LIKE '%BRASS%' THEN 0 WHEN p_size > 25 THEN 1 ELSE 2 END, p_name, p_partkey) = 1"""
-
-
 def cell_spec_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The commonest mode of each ship month; of ties the one seen first."""
     li = table(spark, sf_dir, "lineitem").withColumn("month", F.month("l_shipdate"))
@@ -231,6 +221,6 @@ WITH v AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings), m A
 )
 SELECT label, round(m, 6) AS median, round(m - 5 * mad, 6) AS low, round(m + 5 * mad, 6) AS high FROM d"""
 
-_NAMES = "seek_map paper_split page_concat page_ranges citation_join anti_missing figure_completeness recognised_pages main_file_pick cell_spec_mode reading_order column_extents box_overlaps coordinates grid_neighbours running_variance gini_by_threshold class_median_mad".split()
+_NAMES = "seek_map paper_split page_concat page_ranges citation_join anti_missing figure_completeness recognised_pages cell_spec_mode reading_order column_extents box_overlaps coordinates grid_neighbours running_variance gini_by_threshold class_median_mad".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 ORACLES = {n: globals()[n.upper()] for n in _NAMES}

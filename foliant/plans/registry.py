@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, evaluation, lines
+from . import corpus, evaluation, layout, lines, papers, texts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**evaluation.QUERIES, **lines.QUERIES, **corpus.QUERIES}
-ORACLES: dict[str, str] = {**evaluation.ORACLES, **lines.ORACLES, **corpus.ORACLES}
+_PLANS = (evaluation, lines, corpus, papers, layout, texts)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for plan in _PLANS for k, v in plan.QUERIES.items()}
+ORACLES: dict[str, str] = {k: v for plan in _PLANS for k, v in plan.ORACLES.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised edit distance of neighbouring turns by role."""
-    return evaluation.ned_by_role(spark, sf_dir)
+    """Pages of HTML as markup, split into the pages of their printed text."""
+    return texts.split_pages(spark, sf_dir)

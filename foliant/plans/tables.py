@@ -13,20 +13,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan over at least as many partitions as the cluster has cores, by ``keys``.
+
+    Only small inputs are dealt anew, where the work on a row outweighs its
+    shuffle: a scan that has partitions for all cores, as any large one has, stays
+    as it is.  ``df`` must not shuffle yet.
+    """
+    width = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > width else df.repartition(width, *keys)
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.lines_of(table(spark, sf_dir, "documents"))
+    return L.lines_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"))
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn, role, a, b: each turn and the next one, printable ASCII and newlines only, normalised."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", T.normalised_for_eval(F.regexp_replace("text", r"[^\x20-\x7E\n]", "")).alias("a"))
+    """conv_id, turn, role, a, b: each turn and the next one, whole texts, normalised."""
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id").select("conv_id", "turn", "role", T.normalised_for_eval(F.col("text")).alias("a"))
     after = F.lead("a").over(Window.partitionBy("conv_id").orderBy("turn"))
     return turns.withColumn("b", after).where("b IS NOT NULL")
 
 
-TURN_PAIRS = r"""
+#: White space that both engines strip, as a character class.
+SPACE = r"[\s\x{85}\x{a0}\x{2028}\x{2029}\x{3000}]"
+#: The normal form of ``normalised_for_eval`` over a column, figures apart.
+NORMALISED = (
+    r"regexp_replace(translate(regexp_replace(regexp_replace(regexp_replace({c}, '^" + SPACE + r"+', ''), '" + SPACE + r"+$', ''), '\n+', E'\n', 'g'), "
+    "(SELECT string_agg(chr(CAST(i AS INT)), '' ORDER BY i) FROM generate_series(65281, 65374) g(i)) || chr(12288), "
+    "(SELECT string_agg(chr(CAST(i AS INT)), '' ORDER BY i) FROM generate_series(33, 126) g(i)) || ' '), '\\[IMAGE[^\\]]*\\]', '[IMAGE_TOKEN]', 'g')"
+)
+TURN_PAIRS = f"""
 t AS (
-  SELECT conv_id, turn, role, regexp_replace(trim(regexp_replace(text, '[^\x20-\x7E\n]', '', 'g'), E' \n'), '\n+', E'\n', 'g') AS a FROM conversations
+  SELECT conv_id, turn, role, {NORMALISED.replace('{c}', "coalesce(text, '')")} AS a FROM conversations
 ), pairs AS (
   SELECT * FROM (SELECT *, lead(a) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM t) WHERE b IS NOT NULL
 )"""

@@ -1 +1 @@
-"""Part of the corpus engine; see the package docstring."""
+"""Readers and writers: archives, pages, extracted text, results, annotations, external converters."""

@@ -1 +1 @@
-"""Part of the corpus engine; see the package docstring."""
+"""Structured Streaming forms of the page assembly and of line runs."""
