@@ -166,9 +166,10 @@ def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TABLE_FILES = f"""
 WITH {BOXES}, t AS (
-  SELECT page_id, box_id, row_number() OVER (PARTITION BY page_id ORDER BY box_id) AS k, CAST(floor(x1) AS INT) AS x, CAST(floor(y1) AS INT) AS y, CAST(floor(x2 - x1) AS INT) AS w, CAST(floor(y2 - y1) AS INT) AS h FROM boxes WHERE score >= 0.7
-)
-SELECT page_id, '<document filename="cTDaR_t' || lpad(CAST(page_id AS VARCHAR), CAST(greatest(5, length(CAST(page_id AS VARCHAR))) AS INT), '0') || '.jpg">' || string_agg('<table id="' || k || '"><Coords points="' || x || ',' || y || ' ' || x || ',' || (y + h) || ' ' || (x + w) || ',' || (y + h) || ' ' || (x + w) || ',' || y || '"/></table>', '' ORDER BY box_id) || '</document>' AS xml FROM t GROUP BY page_id"""
+  SELECT page_id, box_id, CAST(floor(x1) AS INT) AS x, CAST(floor(y1) AS INT) AS y, CAST(floor(x2 - x1) AS INT) AS w, CAST(floor(y2 - y1) AS INT) AS h FROM boxes WHERE score >= 0.7
+), p AS (SELECT page_id, box_id, x || ',' || y || ' ' || x || ',' || (y + h) || ' ' || (x + w) || ',' || (y + h) || ' ' || (x + w) || ',' || y AS points FROM t),
+  k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY box_id, points) AS k FROM p)
+SELECT page_id, '<document filename="cTDaR_t' || lpad(CAST(page_id AS VARCHAR), CAST(greatest(5, length(CAST(page_id AS VARCHAR))) AS INT), '0') || '.jpg">' || string_agg('<table id="' || k || '"><Coords points="' || points || '"/></table>', '' ORDER BY k) || '</document>' AS xml FROM k GROUP BY page_id"""
 
 
 def annotation_objects(spark: SparkSession, sf_dir: str) -> DataFrame:

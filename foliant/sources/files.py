@@ -67,13 +67,13 @@ def text_of(content: Column) -> Column:
 
 def normalised_html(html: Column) -> Column:
     """One form of white space: no-break spaces as blanks, runs between tags that hold a line break as one break."""
-    plain = F.replace(F.replace(html, F.lit(" "), F.lit(" ")), F.lit("&nbsp;"), F.lit(" "))
+    plain = F.replace(F.replace(html, F.lit("\u00a0"), F.lit(" ")), F.lit("&nbsp;"), F.lit(" "))
     return F.regexp_replace(plain, r">[ \t\r]*\n\s*<", ">\n<")
 
 
 def read_html(spark: SparkSession, folder: str) -> DataFrame:
     """path, html of every HTML file below a folder, in normal form."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{html,htm}").text(folder)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{html,htm}").text(folder, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), normalised_html(F.col("value")).alias("html"))
 
 

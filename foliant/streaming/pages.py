@@ -25,8 +25,8 @@ def _document(doc_id: int, pages: dict[int, str], complete: bool) -> pd.DataFram
     return pd.DataFrame({"doc_id": [doc_id], "n_pages": [len(pages)], "complete": [complete], "document": [text]})
 
 
-def documents(pages: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """One row a document, once all its pages are there, or incomplete once none has come for ``late``.
+def documents(pages: DataFrame, late: int = 600) -> DataFrame:
+    """One row a document, once all its pages are there, or incomplete once none has come for ``late`` seconds.
 
     A page that comes twice counts once, the first time; a page that comes after
     its document is done starts a new one.  State holds the pages of open
@@ -51,10 +51,10 @@ def documents(pages: DataFrame, late: str = "10 minutes") -> DataFrame:
             yield _document(key[0], held, True)
         else:
             state.update((list(held), list(held.values()), total))
-            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs() + 1), late)
+            state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + late * 1000)
 
     return (
-        pages.withWatermark("at", late)
+        pages.withWatermark("at", f"{late} seconds")
         .groupBy("doc_id")
         .applyInPandasWithState(run, DOCUMENTS, "pages array<int>, texts array<string>, total int", "append", GroupStateTimeout.EventTimeTimeout)
     )
