@@ -184,14 +184,14 @@ class _Run:
         with which all its nodes have been compared.  What two nodes can share is
         bounded twice, and a pair is met only where a bound allows it, in a second
         inverted join on rare shingles (``_met``): by their sets as they are, and
-        by what sets them apart from a hub that both resemble.  Nodes that hold
-        too many shingles of their own drop out first.
+        by what sets them apart from a centre that both resemble (``_apart``).
+        Nodes that hold too many shingles of their own drop out first.
         """
         labelled = posts.join(comps, "node", "left").select("node", "common", "tokens", F.coalesce("comp", "node").alias("comp"))
         lists = labelled.select(F.explode("tokens").alias("token"), "node", "common", "comp")
-        tops = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("common", -F.col("node"), "comp")).alias("top"))
-        mixed = stored(tops.where("lo <> hi").select("token", (-F.col("top.col2")).alias("hub"), F.col("top.comp").alias("hub_comp")), "mixed")
-        spokes = stored(lists.join(mixed, "token").select("node", "comp", "hub", "hub_comp").distinct(), "spokes")
+        tops = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("common", -F.col("node"))).alias("top"))
+        mixed = stored(tops.where("lo <> hi").select("token", (-F.col("top.col2")).alias("hub")), "mixed")
+        spokes = stored(lists.join(mixed, "token").select("node", "comp", "hub").distinct(), "spokes")
         if spokes.isEmpty():
             return None
         open_ = spokes.select("node", "comp").distinct()
@@ -200,23 +200,48 @@ class _Run:
         s, u = F.size("items"), F.coalesce("u", F.lit(0))
         live = sets.join(alone, "node", "left").where(100 * (s - u) >= self.percent * s).select("node", "items")
         live = stored(live.join(open_, "node"), "live")
-        x = spokes.select("node", "hub", (F.col("comp") == F.col("hub_comp")).alias("inner"))
-        x = x.join(live, "node").join(sets.select(F.col("node").alias("hub"), F.col("items").alias("of_hub")), "hub")
-        d = F.concat(F.array_except("items", "of_hub"), F.array_except("of_hub", "items"))
-        near = x.select("node", "comp", "hub", "inner", F.size("items").alias("s"), F.size("of_hub").alias("h"), d.alias("d"))
-        near = stored(near.withColumn("shared", (F.col("s") + F.col("h") - F.size("d")) / 2).withColumn("like", F.col("shared") / (F.col("s") + F.col("h") - F.col("shared"))), "near")
+        x = spokes.select("node", "hub").join(live, "node")
+        hubs = sets.select(F.col("node").alias("hub"), F.col("items").alias("centre"))
+        x = _salted(x, hubs, "hub")
+        shared = F.size(F.array_intersect("items", "centre"))
+        near = x.select("node", "comp", "hub", "items", (shared / (F.size("items") + F.size("centre") - shared)).alias("like"))
+        near = stored(near, "near")
         # a linked pair is less than 1 - percent / 100 apart in likeness to any third set
         far = near.where(F.col("like") < RESEMBLES + (100 - self.percent) / 100).select("node").distinct()
         plain = live.join(far, "node").select("node", "comp", F.lit(-1).cast("long").alias("hub"), F.lit(0).alias("side"), F.col("items").alias("d"), (-F.floor(-F.size("items") * self.percent / 100)).cast("long").alias("need"))
+        apart, direct = self._apart(near.where(F.col("like") >= RESEMBLES), hubs)
+        met = self._met(stored(plain.unionByName(apart), "bounded"))
+        return stored(met.unionByName(direct).distinct(), "pairs"), sets
+
+    def _apart(self, near: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows for ``_met`` of what sets nodes (node, comp, hub, items) apart from their hub's centre; and pairs that the centre proves.
+
+        A hub's centre are the shingles that most of its nodes hold, or its own
+        where it has few.  With d the difference from the centre, two nodes are
+        linked just if they share (w + w') / 2 of their differences, where w is
+        |d| less percent's part of the size.  Let m be the node of least w.  Those
+        with w + w_m <= 0 are linked with m (``direct``), so every other pair that
+        is still open has a member above -w_m, which bounds what the other one
+        must share.
+        """
+        big = near.groupBy("hub").agg(F.count("*").alias("voters")).where(F.col("voters") >= VOTERS)
+        held = near.join(big, "hub").select("hub", "voters", F.explode("items").alias("item")).groupBy("hub", "voters", "item").agg(F.count("*").alias("n"))
+        agreed = stored(held.where("2 * n > voters").groupBy("hub").agg(F.collect_list("item").alias("agreed")), "centres")
+        centres = hubs.join(near.select("hub").distinct(), "hub", "left_semi").join(agreed, "hub", "left").select("hub", F.coalesce("agreed", "centre").alias("centre"))
         a, b = 100 + self.percent, 100 - self.percent
-        grown = F.size("d") * a - b * F.col("s")
-        tight = F.floor((grown + b * F.col("h")) / (2 * a)) + 1  # the other one is not linked with the hub
-        loose = F.greatest(F.lit(1).cast("long"), -F.floor(-(grown - b * F.col("h")) / (2 * a)))  # it may be
-        alike = near.where((F.col("like") >= RESEMBLES) & (F.size("d") > 0))
-        outer = alike.where("NOT inner").select("node", "comp", "hub", F.lit(0).alias("side"), "d", tight.alias("need"))
-        across = alike.select("node", "comp", (-F.col("hub") - 2).alias("hub"), F.when(F.col("inner"), 1).otherwise(2).alias("side"), "d", F.when(F.col("inner"), tight).otherwise(loose).alias("need"))
-        met = self._met(stored(plain.unionByName(outer).unionByName(across), "bounded"))
-        return met, sets
+        d = F.concat(F.array_except("items", "centre"), F.array_except("centre", "items"))
+        rows = _salted(near, centres, "hub").select("node", "comp", "hub", F.size("items").alias("s"), d.alias("d"))
+        rows = stored(rows.withColumn("w", (F.size("d") * a - b * F.col("s")).cast("long")), "apart")
+        least = rows.groupBy("hub").agg(F.min(F.struct("w", "node")).alias("m")).select("hub", F.col("m.w").alias("wm"), F.col("m.node").alias("m"))
+        rows = _salted(rows, least, "hub")
+        inner = F.col("w") + F.col("wm") <= 0
+        direct = rows.where(inner & (F.col("node") != F.col("m"))).select(F.least("node", "m").alias("a"), F.greatest("node", "m").alias("b"))
+        tight = F.floor((F.col("w") - F.col("wm")) / (2 * a)) + 1  # the other one lies outside
+        loose = -F.floor(-(F.col("w") + F.col("wm")) / (2 * a))  # it may be m
+        some = rows.where(F.size("d") > 0)
+        outer = some.where(~inner).select("node", "comp", "hub", F.lit(0).alias("side"), "d", tight.alias("need"))
+        across = some.select("node", "comp", (-F.col("hub") - 2).alias("hub"), F.when(inner, 1).otherwise(2).alias("side"), "d", F.when(inner, tight).otherwise(loose).alias("need"))
+        return outer.unionByName(across), direct
 
     def _met(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b) of rows (node, comp, hub, side, d, need) that may share ``need`` elements of their ``d``.
@@ -240,8 +265,18 @@ class _Run:
         return stored(ends.distinct(), "pairs")
 
 
-#: Likeness to a hub from which on nodes are told apart by how they differ from it.
+def _salted(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """An equi-join on ``key`` whose left rows of one key are dealt over SALTS tasks; ``right`` has a row per key."""
+    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("__salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(copies, [key, "__salt"]).drop("__salt")
+
+
+#: Likeness to a hub from which on nodes are told apart by how they differ from its centre.
 RESEMBLES = 0.2
+#: Nodes of a hub from which on its centre is what most of them hold.
+VOTERS = 16
+#: Tasks over which the nodes of one hub are dealt when its set is joined to them.
+SALTS = 8
 
 
 def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:

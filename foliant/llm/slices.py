@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -26,6 +27,15 @@ def hold(owner: str, *caches: dict) -> None:
     _held[owner] = list(caches)
 
 
+def release() -> None:
+    """Give memory that this worker does not use back to the system; idle workers stay alive beside the next stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not on this system
+        pass
+
+
 def map_slices(df: DataFrame, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``run`` over slices of ``ROWS`` rows; integers with nulls arrive as objects."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -35,10 +45,13 @@ def map_slices(df: DataFrame, run: Callable[[pd.DataFrame], pd.DataFrame], schem
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(names)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                out = run(batch.slice(at, ROWS).to_pandas(integer_object_nulls=True))
-                if len(out):
-                    yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    out = run(batch.slice(at, ROWS).to_pandas(integer_object_nulls=True))
+                    if len(out):
+                        yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+        finally:
+            release()
 
     return df.mapInArrow(go, schema)
