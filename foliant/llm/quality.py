@@ -6,7 +6,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -22,9 +21,10 @@ CACHE_ENTRIES = 400_000
 TRAIN_ROWS = 2500
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 8, 8, 6.0
 GRAMS = (3, 5)
-#: A word of a line that the text already had, or that repeats the word before, counts as so many repeat features.
-REPEAT_WEIGHT = 8
-_REPEAT = zlib.crc32(b"\0repeated line") & (BUCKETS - 1)
+#: Orders of the word n-grams that are told apart by whether the text already had them.
+ORDERS = (2, 4, 8)
+#: Their buckets: one learned vector for all recurring n-grams of an order.
+_AGAIN = np.array([zlib.crc32(b"\0again %d" % n) & (BUCKETS - 1) for n in ORDERS])
 #: Parts and part of crc32(doc_id) that are never learnt from.
 PARTS, HELD_OUT = 3, 1
 
@@ -38,17 +38,22 @@ def features(word: str) -> np.ndarray:
     return np.array(found, dtype=np.int64) & (BUCKETS - 1)
 
 
-def words_and_repeats(text: str) -> tuple[list[str], int]:
-    """All words, and how many repeat the word before or stand in a line that came before."""
-    words, lines = text.split(), text.split("\n")
-    repeats = sum(map(eq, words, words[1:]))
-    if len(set(lines)) < len(lines):
-        seen = set()
-        for line in lines:
-            if line in seen:
-                repeats += len(line.split())
-            seen.add(line)
-    return words, repeats
+def recurring(words: list[str]) -> np.ndarray:
+    """For each order the words under word n-grams that the text already had: n for each such n-gram.
+
+    Equal words have equal hashes; which ones they have does not matter.
+    """
+    h = np.array(list(map(hash, words)), dtype=np.int64).view(np.uint64)
+    out = np.zeros(len(ORDERS))
+    grams, width = h, 1
+    for k, n in enumerate(ORDERS):
+        while width < n and len(grams) > width:  # the grams of twice the width
+            grams = grams[: len(grams) - width] * np.uint64(0x9E3779B97F4A7C15) + (grams[width:] ^ (grams[width:] >> np.uint64(29)))
+            width *= 2
+        if width < n:
+            break
+        out[k] = n * (len(grams) - len(np.unique(grams)))
+    return out
 
 
 @dataclass
@@ -60,7 +65,7 @@ class Model:
 
 
 def _bag(text: str, cache: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    words, repeats = words_and_repeats(text)
+    words = text.split()
     counts = Counter(words)
     if len(cache) > CACHE_ENTRIES // 4:
         cache.clear()
@@ -68,8 +73,8 @@ def _bag(text: str, cache: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarra
         if w not in cache:
             cache[w] = features(w).astype(np.int32)
     parts = [cache[w] for w in counts]
-    ids = np.concatenate([*parts, [_REPEAT]])
-    times = np.concatenate([np.repeat(np.array(list(counts.values()), dtype=float), [len(p) for p in parts]), [repeats * REPEAT_WEIGHT]]) if parts else np.zeros(1)
+    ids = np.concatenate([*parts, _AGAIN])
+    times = np.concatenate([np.repeat(np.array(list(counts.values()), dtype=float), [len(p) for p in parts]), recurring(words)])
     unique, where = np.unique(ids, return_inverse=True)
     share = np.bincount(where, weights=times)
     return unique.astype(np.int32), (share / max(share.sum(), 1.0)).astype(np.float32)
@@ -121,10 +126,10 @@ class Scorer:
         return got
 
     def score(self, text: str) -> float:
-        words, repeats = words_and_repeats(text)
-        known, miss = self.words, self._word
+        words = text.split()
+        known, miss, again = self.words, self._word, recurring(words)
         # the real part sums the projections, the imaginary part the features
-        total = sum([known[w] if w in known else miss(w) for w in words], complex(float(self.model.weight[_REPEAT]) * repeats * REPEAT_WEIGHT, repeats * REPEAT_WEIGHT))
+        total = sum([known[w] if w in known else miss(w) for w in words], complex(float(self.model.weight[_AGAIN] @ again), float(again.sum())))
         return 1 / (1 + float(np.exp(-np.clip(total.real / max(total.imag, 1.0) + self.model.bias, -30, 30))))
 
 
