@@ -9,6 +9,8 @@ from dataclasses import dataclass
 import numpy as np
 
 CLEAR_BITS = 12
+#: Pixels of a screen or frame above which a file counts as broken: a few header bytes must not claim a task's memory.
+MAX_PIXELS = 1 << 25
 
 
 @functools.lru_cache(maxsize=16)
@@ -21,31 +23,31 @@ def _widths(least: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def lzw_encode(data: bytes, least: int = 8) -> bytes:
     """Variable-width LZW codes, with a clear code whenever the table is full."""
-    clear, codes, starts = 1 << least, [1 << least], [0]
+    clear, codes, starts = 1 << least, [1 << least + 8], [0]
+    # codes are held eight bits up, so that a code and the next byte make a key in one step
     table: dict[int, int] = {}
-    get, put, free = table.get, codes.append, clear + 2
+    get, put, free, full = table.get, codes.append, clear + 2 << 8, 1 << CLEAR_BITS + 8
     stream = iter(data)
-    prefix = next(stream, None)
+    first = next(stream, None)
+    prefix = 0 if first is None else first << 8
     for b in stream:
-        key = prefix << 8 | b
-        code = get(key)
-        if code is not None:
+        if code := get(prefix | b):
             prefix = code
             continue
         put(prefix)
-        prefix = b
-        if free < 1 << CLEAR_BITS:
-            table[key] = free
-            free += 1
+        if free < full:
+            table[prefix | b] = free
+            free += 256
         else:
             starts.append(len(codes))
-            put(clear)
+            put(clear << 8)
             table.clear()
-            free = clear + 2
-    if prefix is not None:
+            free = clear + 2 << 8
+        prefix = b << 8
+    if first is not None:
         put(prefix)
-    put(clear + 1)
-    return _packed(np.array(codes, dtype=np.int64), np.array(starts, dtype=np.int64), least)
+    put(clear + 1 << 8)
+    return _packed(np.array(codes, dtype=np.int64) >> 8, np.array(starts, dtype=np.int64), least)
 
 
 def _packed(codes: np.ndarray, clears: np.ndarray, least: int) -> bytes:
@@ -87,15 +89,16 @@ def lzw_decode(stream: bytes, least: int, wanted: int) -> bytes:
             add = table.append
             prior = table[part[0]]
             pieces = [prior]
+            keep = pieces.append
             for code in part[1 : full + 1]:
-                if code < len(table):
+                try:
                     entry = table[code]
-                elif code == len(table):
+                except IndexError:
+                    if code != len(table):
+                        raise ValueError("a code is ahead of its table") from None
                     entry = prior + prior[:1]
-                else:
-                    raise ValueError("a code is ahead of its table")
                 add(prior + entry[:1])
-                pieces.append(entry)
+                keep(entry)
                 prior = entry
             try:
                 pieces.extend([table[c] for c in part[full + 1 :]])
@@ -163,6 +166,8 @@ def _parse(data: bytes) -> tuple[int, int, list[Frame]]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > MAX_PIXELS:
+        raise ValueError("the screen is too large")
     shared, at = _palette(data, 13, flags)
     delay, disposal, transparent, frames = 0, 0, None, []
     while data[at] != 0x3B:
@@ -176,6 +181,8 @@ def _parse(data: bytes) -> tuple[int, int, list[Frame]]:
             left, top, w, h, local = struct.unpack_from("<HHHHB", data, at + 1)
             own, at = _palette(data, at + 10, local)
             least = data[at]
+            if w * h > MAX_PIXELS:
+                raise ValueError("a frame is too large")
             if not 2 <= least <= 8:
                 raise ValueError("a code size is out of range")
             stream, at = _sub_blocks(data, at + 1)

@@ -22,26 +22,28 @@ def gif_frames(media: DataFrame, id_col: str = "media_id", bytes_col: str = "con
     """One row per frame: media_id, frame, start_cs, delay_cs, width, height, disposal, pixels, histogram, error.
 
     ``pixels`` is the RGBA canvas once the frame is drawn.  A null, empty or
-    broken file gives one row with frame -1 and the reason in ``error``; a file
-    without frames likewise.  Repeated rows are decoded as rows of their own.
+    broken file gives one row with frame -1 and the reason in ``error``; so does a
+    file without frames and one whose screen or a frame of which is above
+    ``gif.MAX_PIXELS``.  Repeated rows are decoded as rows of their own.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split(" ")[0] for c in _FRAMES.split(", ")]
         for batch in batches:
             for some_id, content in zip(batch["media_id"].astype("Int64"), batch["content"], strict=True):
-                rows, clock = [], 0
+                clock, error = 0, None
+                one = lambda *row: pd.DataFrame([row], columns=names).astype({"media_id": "Int64"})
                 try:
                     w, h, frames = gif.parse(bytes(content or b""))
-                    for k, (f, canvas) in enumerate(zip(frames, gif.render(w, h, frames), strict=True)):
-                        rows.append((some_id, k, clock, f.delay, w, h, f.disposal, canvas.tobytes(), gif.colour_histogram(canvas), None))
-                        clock += f.delay
-                    error = None if rows else "no frames"
+                    error = None if frames else "no frames"
                 except ValueError as e:
-                    rows, error = [], str(e)
+                    frames, error = [], str(e)
                 if error:
-                    rows = [(some_id, -1, 0, 0, 0, 0, 0, b"", np.zeros(64, dtype=np.int64), error)]
-                yield pd.DataFrame(rows, columns=names).astype({"media_id": "Int64"})
+                    yield one(some_id, -1, 0, 0, 0, 0, 0, b"", np.zeros(64, dtype=np.int64), error)
+                # a frame at a time, so that a long animation holds one canvas
+                for k, (f, canvas) in enumerate(zip(frames, gif.render(w, h, frames) if frames else (), strict=True)):
+                    yield one(some_id, k, clock, f.delay, w, h, f.disposal, canvas.tobytes(), gif.colour_histogram(canvas), None)
+                    clock += f.delay
 
     return media.select(F.col(id_col).cast("long").alias("media_id"), F.col(bytes_col).alias("content")).mapInPandas(run, _FRAMES)
 
