@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .storage import discard, stored
+from .storage import discard, stored, temporary
 
 CAPACITY = 2048
-#: Pieces of one packing group, and rounds of exchange between groups with gaps.
+#: Pieces of one packing group, and rounds of exchange between groups with gaps: at most 5, three bits of an id.
+#: They bear on how few sequences there are, not on which pieces are packed.
 GROUP_PIECES, ROUNDS = 8192, 4
 
 
@@ -110,7 +111,8 @@ def pack(pieces: DataFrame) -> DataFrame:
     """
     full = pieces.where(F.col("length") == CAPACITY).select("uid", (F.col("uid") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = pieces.where(F.col("length") < CAPACITY)
-    number = lambda df, k: df.select("uid", (((F.lit(k) * (1 << 20) + F.col("grp")) * (1 << 20) + F.col("bin")) * 2).alias("sequence_id"), "offset")
+    # one bit apart from full pieces, 16 for the bin, 3 for the round, and the rest, 43, for the group
+    number = lambda df, k: df.select("uid", (((F.col("grp") * 8 + k) * (1 << 16) + F.col("bin")) * 2).alias("sequence_id"), "offset")
     packed = _round(part, part.count(), 0)
     done, k = full.unionByName(number(packed.where("not open"), 0)), 0
     open_bins, open_pieces = _bins(packed, "open")
@@ -138,10 +140,11 @@ def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_
     are cut.  Null and empty texts are the single id 0.  Repeated rows are
     packed as rows of their own; null ids stay null.
     """
-    pieces = bpe.piece_table(docs, path or bpe.vocabulary_path(), CAPACITY, 0, id_col, text_col)
-    held = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    placed = pack(held.select("uid", "length"))
-    return held.join(placed, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    with temporary(docs.sparkSession) as lasting:
+        pieces = bpe.piece_table(docs, path or bpe.vocabulary_path(), CAPACITY, 0, id_col, text_col)
+        held = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+        placed = pack(held.select("uid", "length"))
+        return lasting(held.join(placed, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"), "sequences")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
