@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import shuffle_width, stored
+from .storage import shuffle_width, stored, temporary
 
 #: (host, path, verdict): a rule fits its host, all subdomains and every path that starts with its own.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -13,6 +16,8 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 DEFAULT = "allow"
 #: Sampled keys per splitter, and most splitters, that the driver holds.
 OVERSAMPLE, MAX_SPLITTERS = 32, 2048
+#: Rules of a bucket from which on more buckets are made: a sweep's work grows with their square.
+BUCKET_RULES = 1024
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,6 +39,24 @@ def _labels(host: Column) -> Column:
     return F.reverse(F.split(host, r"\."))
 
 
+def _buckets(cuts: list[tuple[bytes, int]]) -> Callable[[Column, Column], Column]:
+    """How many cuts lie at or below (key, h): first among every so many-th cut, then among the cuts behind it."""
+    if not cuts:
+        return lambda key, h: F.lit(0)
+    one = lambda c: F.struct(F.lit(c[0]).alias("key"), F.lit(c[1]).alias("h"))
+    step = isqrt(len(cuts)) + 1
+    heads = F.array(*[one(c) for c in cuts[::step]])
+    runs = F.array(*[F.array(*[one(c) for c in cuts[k : k + step]]) for k in range(0, len(cuts), step)])
+
+    def find(key: Column, h: Column) -> Column:
+        own = F.struct(key.alias("key"), h.alias("h"))
+        below = lambda a: F.size(F.filter(a, lambda s: s <= own))
+        head = below(heads)
+        return F.when(head == 0, 0).otherwise((head - 1) * step + below(F.get(runs, head - 1)))
+
+    return find
+
+
 def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT) -> DataFrame:
     """One row per input row: page_id, host, path, rule, verdict.
 
@@ -49,6 +72,11 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     ends keeps the stack of open rules, and each url key takes the top of the
     stack at the last end before it.
     """
+    with temporary(pages.sparkSession) as lasting:
+        return lasting(_verdicts(pages, rules, id_col, url_col, default), "verdicts")
+
+
+def _verdicts(pages: DataFrame, rules: DataFrame, id_col: str, url_col: str, default: str) -> DataFrame:
     spark = pages.sparkSession
     url = F.col(url_col)
     base = stored(pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")).withColumn("uid", F.monotonically_increasing_id()), "urls")
@@ -56,17 +84,20 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     levels = base.withColumn("labels", _labels(F.col("host"))).withColumn("level", F.explode(F.sequence(F.lit(1), F.size("labels"))))
     keys = levels.select("uid", _key(F.slice("labels", F.lit(1), F.col("level")), F.col("path")).alias("key"), F.xxhash64("uid").alias("h"))
 
-    buckets = min(MAX_SPLITTERS, 2 * shuffle_width(spark))
-    rows = keys.count()
-    draw = F.pmod(F.xxhash64("uid", "key", F.lit(3)), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, buckets * OVERSAMPLE / max(rows, 1))))
-    sample = sorted((bytes(r["key"]), r["h"]) for r in keys.where(draw).select("key", "h").collect())
-    cuts = sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
-    splitters = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(h).alias("h")) for k, h in cuts]) if cuts else F.expr("CAST(array() AS array<struct<key:binary,h:bigint>>)")
-    bucket = lambda key, h: F.size(F.filter(splitters, lambda s: s <= F.struct(key.alias("key"), h.alias("h"))))
-
     lowest = F.lit(-(1 << 63))
     named = rules.select(F.concat("host", "path").alias("rule"), F.length("host").alias("host_len"), "verdict", _key(_labels(F.col("host")), F.col("path")).alias("start"))
     named = named.groupBy("rule", "host_len", "start").agg(F.max("verdict").alias("verdict")).withColumn("end", F.concat("start", F.expr("X'FF'")))
+
+    rows, n_rules = keys.count(), named.count()
+    buckets = min(MAX_SPLITTERS, max(2 * shuffle_width(spark), n_rules // BUCKET_RULES))
+    draw = F.pmod(F.xxhash64("uid", "key", F.lit(3)), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, buckets * OVERSAMPLE / max(rows, 1))))
+    some = F.pmod(F.xxhash64("rule", F.lit(5)), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, buckets * OVERSAMPLE / max(n_rules, 1))))
+    sample = sorted((bytes(r["key"]), r["h"]) for r in keys.where(draw).select("key", "h").collect())
+    cuts = {sample[len(sample) * i // buckets] for i in range(1, buckets)} if sample else set()
+    if n_rules >= BUCKET_RULES:  # many rules are cut as evenly as many keys
+        starts = sorted(bytes(r["start"]) for r in named.where(some).select("start").collect())
+        cuts |= {(starts[len(starts) * i // buckets], -(1 << 63)) for i in range(1, buckets)}
+    bucket = _buckets(sorted(cuts))
     met = named.withColumns({"lo": bucket(F.col("start"), lowest), "hi": bucket(F.col("end"), lowest)}).withColumn("bucket", F.explode(F.sequence("lo", "hi")))
     top = "struct<len:int,host_len:int,block:boolean,rule:string,verdict:string>"
     entry = F.struct(F.length("rule").alias("len"), F.col("host_len").alias("host_len"), (F.col("verdict") == "block").alias("block"), F.col("rule").alias("rule"), F.col("verdict").alias("verdict"))
