@@ -201,7 +201,8 @@ class _Run:
         live = sets.join(alone, "node", "left").where(100 * (s - u) >= self.percent * s).select("node", "items")
         live = stored(live.join(open_, "node"), "live")
         x = spokes.select("node", "hub").join(live, "node")
-        hubs = sets.select(F.col("node").alias("hub"), F.col("items").alias("centre"))
+        hubs = sets.select(F.col("node").alias("hub"), F.col("items").alias("centre")).join(mixed.select("hub").distinct(), "hub", "left_semi")
+        hubs = stored(hubs, "hubs")
         x = _salted(x, hubs, "hub")
         shared = F.size(F.array_intersect("items", "centre"))
         near = x.select("node", "comp", "hub", "items", (shared / (F.size("items") + F.size("centre") - shared)).alias("like"))
