@@ -254,3 +254,23 @@ def test_run_is_its_stages(spark):
         docs = stage(spark, docs, SF)
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, rows)) == sorted(map(key, docs.collect()))
+
+
+# -- url rules -----------------------------------------------------------------------------------
+def test_many_nested_rules(spark, monkeypatch):
+    """More rules than a bucket holds, nested and beside each other, against a scan of all rules."""
+    from foliant.llm import url_filters
+
+    monkeypatch.setattr(url_filters, "BUCKET_RULES", 8)
+    rng = random.Random(5)
+    hosts = ["org", "a.org", "b.a.org", "com", "x.com", "net"]
+    rules = {(rng.choice(hosts), "/" + "".join(rng.choice("ab/") for _ in range(rng.randint(0, 5)))): rng.choice(["allow", "block"]) for _ in range(150)}
+    urls = [f"http://{rng.choice(['', 'www.', 'c.b.'])}{rng.choice(hosts)}/" + "".join(rng.choice("ab/") for _ in range(rng.randint(0, 7))) for _ in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    table = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.apply_rules(pages, table).collect()}
+    for i, url in enumerate(urls):
+        host, _, path = url.removeprefix("http://").partition("/")
+        fits = [(len(h + p), len(h), v == "block", h + p, v) for (h, p), v in rules.items() if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        best = max(fits, default=(0, 0, False, None, "allow"))
+        assert got[i] == (best[3], best[4])
