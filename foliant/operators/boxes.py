@@ -246,3 +246,28 @@ def polygon_overlap(a: list[float] | None, b: list[float] | None) -> float | Non
     both = abs(area(cut)) if len(cut) > 2 else 0.0
     union = area(p) + area(q) - both
     return both / union if union > 0 else 0.0
+
+
+#: Pieces that a crop is cut into, by its height over the tallest one's; later limits rule out the first.
+PIECES = [(0.8, 16), (0.6, 12), (0.4, 9), (0.3, 7), (0.2, 5), (0.12, 3), (0.08, 2)]
+
+
+def piece_count(height: Column, tallest: Column, label: Column) -> Column:
+    """How many pieces a crop is cut into; formulas stay whole."""
+    found = F.coalesce(*[F.when(height > least * tallest, n) for least, n in PIECES], F.lit(1))
+    return F.when(label == "formula", 1).otherwise(found)
+
+
+def merged_dots(boxes: list | None) -> list[tuple] | None:
+    """Letter boxes (x, y, w, h) from left to right; a box within the width of the one before is its dot and joins it."""
+    if boxes is None:
+        return None
+    out: list[tuple] = []
+    for x, y, w, h in boxes:
+        if out and x >= out[-1][0] and x + w <= out[-1][0] + out[-1][2]:
+            px, py, pw, ph = out[-1]
+            top = min(y, py)
+            out[-1] = (px, top, pw, max(y + h, py + ph) - top)
+        else:
+            out.append((x, y, w, h))
+    return out

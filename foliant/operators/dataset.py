@@ -35,13 +35,15 @@ def offsets(rows: DataFrame, by: list[str], order: str, line: str) -> DataFrame:
 
 
 def split_papers(samples: DataFrame, id_col: str, train: float = 0.8, validation: float = 0.1, seed: str = "42") -> DataFrame:
-    """id and split of every paper, whole papers at a time.
+    """id and split of every paper, whole papers at a time; shares that are negative or above 1 together are an error.
 
     Papers are ordered by a hash of seed and id; the first floor(train * n) are
     train, the next floor(validation * n) validation, the rest test.  The place
     in that order is a count over hash ranges plus a place inside one, so no
     task sees all papers.
     """
+    if min(train, validation) < 0 or train + validation > 1:
+        raise ValueError(f"shares {train} and {validation} are no parts of a whole")
     papers = samples.select(id_col).distinct().withColumn("h", F.md5(F.concat(F.lit(seed + ":"), F.col(id_col).cast("string"))))
     papers = papers.withColumn("cell", F.substring("h", 1, 3))
     cells = papers.groupBy("cell").agg(F.count("*").alias("n"))  # at most 4096 rows

@@ -60,6 +60,19 @@ WITH {_LABELLED}, p AS (SELECT *, CASE WHEN label IN {_LIST(B.HEAD)} THEN 'head'
 SELECT page_id, box_id, part, CAST(row_number() OVER (PARTITION BY page_id, part ORDER BY "column" * 10000000 + floor(y1), box_id) - 1 AS INT) AS place FROM p"""
 
 
+def crop_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into how many pieces each box is cut, by its height on its page."""
+    tallest = F.max(F.col("y2") - F.col("y1")).over(Window.partitionBy("page_id"))
+    scaled = (F.col("y2") - F.col("y1")) * (F.col("box_id") % 20 + 1) / 20
+    return boxes(spark, sf_dir).select("page_id", "box_id", B.piece_count(scaled, tallest, F.col("label")).cast("int").alias("pieces"))
+
+
+_LIMITS = " ".join(f"WHEN s > {least} * t THEN {n}" for least, n in B.PIECES)
+CROP_PIECES = f"""
+WITH {BOXES}, s AS (SELECT page_id, box_id, label, (y2 - y1) * (box_id % 20 + 1) / 20 AS s, max(y2 - y1) OVER (PARTITION BY page_id) AS t FROM boxes)
+SELECT page_id, box_id, CAST(CASE WHEN label = 'formula' THEN 1 {_LIMITS} ELSE 1 END AS INT) AS pieces FROM s"""
+
+
 # -- tables -------------------------------------------------------------------------------
 def _found(truth: DataFrame) -> DataFrame:
     """Detections of the true boxes: moved by up to nine pixels, a tenth missing, all of every thirteenth page missing."""
@@ -291,6 +304,6 @@ WITH {_SCORES}, a AS (
 )
 SELECT doc_id, CAST(min(step) FILTER (stops) AS INT) AS stop FROM c GROUP BY doc_id"""
 
-_SQL = "reading_groups page_parts cell_mapping table_scores adjacency_scores border_rules table_files annotation_objects placed_captions interval_gini binary_gini class_limits_filled repetition_cuts stop_steps".split()
+_SQL = "reading_groups page_parts crop_pieces cell_mapping table_scores adjacency_scores border_rules table_files annotation_objects placed_captions interval_gini binary_gini class_limits_filled repetition_cuts stop_steps".split()
 QUERIES = {n: globals()[n] for n in [*_SQL, "box_dedup", "column_classes", "greedy_boxes", "staircase_pages"]}
 ORACLES = {n: globals()[n.upper()] for n in _SQL}

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliant.functions import kernels as K
 from foliant.operators import corpus as C
+from foliant.operators import dataset as D
 from foliant.operators import lines as L
+from foliant.sources import files as FS
 from foliant.sources import records as R
 from foliant.sources import text as ST
 
-from .tables import LINES, document_lines, table
+from .tables import LINES, document_lines, spread, table
 
 #: File names by id mod 5; five documents are a paper.
 _FILES = ["intro.tex", "ms.tex", "sections/main.tex", "appendix.tex", "paper.tex"]
@@ -63,6 +69,49 @@ SELECT lpad(CAST(doc_id AS VARCHAR), 4, '0') || '.13418' AS paper_id FROM docume
 UNION SELECT lpad(CAST(doc_id AS VARCHAR), 4, '0') || '.13418' FROM documents WHERE doc_id % 4 = 0"""
 
 
+def _zipped(doc_id: int, text: str | None) -> bytes:
+    """A ZIP of two files; every ninth one is cut short."""
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("main.tex", text or "")
+        z.writestr(f"sub/{doc_id}.bbl", f"bibliography {doc_id}")
+    return held.getvalue()[:40] if doc_id % 9 == 4 else held.getvalue()
+
+
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an archive for each document; a broken archive is one row that says so."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    archives = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".zip")).alias("path"), K.column(_zipped, "binary", F.col("doc_id"), F.col("text")).alias("content"))
+    return FS.members(archives).select("path", "name", FS.text_of(F.col("content")).alias("text"), F.col("error").isNotNull().alias("broken"))
+
+
+ARCHIVE_MEMBERS = """
+SELECT doc_id || '.zip' AS path, 'main.tex' AS name, coalesce(text, '') AS text, false AS broken FROM documents WHERE doc_id % 9 <> 4
+UNION ALL SELECT doc_id || '.zip', 'sub/' || doc_id || '.bbl', 'bibliography ' || doc_id, false FROM documents WHERE doc_id % 9 <> 4
+UNION ALL SELECT doc_id || '.zip', NULL, NULL, true FROM documents WHERE doc_id % 9 = 4"""
+
+
+def html_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in normal form, no-break spaces and line breaks between tags put in."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", FS.normalised_html(F.replace(F.replace("html", F.lit("<p>"), F.lit("  \n\n <p>\u00a0")), F.lit("</h1>"), F.lit("&nbsp;</h1>"))).alias("html"))
+
+
+HTML_NORMAL = r"""
+SELECT page_id, regexp_replace(replace(replace(replace(replace(html, '<p>', E'  \n\n <p>' || chr(160)), '</h1>', '&nbsp;</h1>'), chr(160), ' '), '&nbsp;', ' '), '>[ \t\r]*\n\s*<', E'>\n<', 'g') AS html FROM pages"""
+
+
+def cached_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages under the key of their content, those that were recognised before from the cache, the others to be computed."""
+    turns = table(spark, sf_dir, "conversations").select(F.md5(F.encode("text", "UTF-8")).alias("key"), "conv_id", "turn")
+    cache = turns.where("conv_id % 3 = 0").select("key").distinct()
+    known = turns.join(cache, "key", "left_semi").withColumn("cached", F.lit(True))
+    return known.unionByName(turns.join(cache, "key", "left_anti").withColumn("cached", F.lit(False)))
+
+
+CACHED_PAGES = "WITH t AS (SELECT md5(text) AS key, conv_id, turn FROM conversations) SELECT *, key IN (SELECT key FROM t WHERE conv_id % 3 = 0) AS cached FROM t"
+
+
 def paper_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers with HTML and PDF and their figure file, and how conversions ended, by whether figures must be computed."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("paper_id"), F.length("html").alias("size"))
@@ -258,6 +307,20 @@ def epoch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 EPOCH_SCORES = "SELECT CAST(year(o_orderdate) AS INT) AS epoch, o_orderpriority AS key, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY ALL"
 
 
+def split_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers of every split in order of their ids, with their samples' count."""
+    samples = table(spark, sf_dir, "conversations")
+    sizes = samples.groupBy("conv_id").agg(F.count("*").alias("samples"))
+    return D.split_papers(samples, "conv_id").join(sizes, "conv_id").groupBy("split").agg(F.array_sort(F.collect_list(F.struct("conv_id", "samples"))).alias("p")).select("split", F.posexplode("p").alias("place", "p")).select("split", "place", "p.conv_id", "p.samples")
+
+
+SPLIT_LISTS = """
+WITH p AS (SELECT conv_id, count(*) AS samples, md5('42:' || conv_id) AS h FROM conversations GROUP BY conv_id), o AS (SELECT *, row_number() OVER (ORDER BY h, conv_id) AS k, count(*) OVER () AS total FROM p), s AS (
+  SELECT *, CASE WHEN k <= floor(0.8 * total) THEN 'train' WHEN k <= floor(0.8 * total) + floor(0.1 * total) THEN 'validation' ELSE 'test' END AS split FROM o
+)
+SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY conv_id) - 1 AS INT) AS place, conv_id, samples FROM s"""
+
+
 def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first hundred samples in order, as a sample limit takes them; and the matched lines over all of them."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role").orderBy("conv_id", "turn").limit(100)
@@ -277,6 +340,6 @@ MATCHED_LINES = f"""
 WITH {_QUERIES}, t AS (SELECT *, {_TIGHT.format(c="line")} AS x FROM l)
 SELECT DISTINCT q.doc_id, local_index FROM q JOIN t ON t.doc_id = q.doc_id WHERE contains(x, {_TIGHT.format(c="text")}) OR length(x) > 8 AND contains({_TIGHT.format(c="text")}, x)"""
 
-_NAMES = "main_file_pick bibliography_pick discovered_papers paper_inputs page_index page_lines paragraphs jsonl_rows page_figures title_objects band_lines nearest_lines early_picks boundary_order epoch_scores first_samples matched_lines".split()
+_NAMES = "archive_members html_normal cached_pages split_lists main_file_pick bibliography_pick discovered_papers paper_inputs page_index page_lines paragraphs jsonl_rows page_figures title_objects band_lines nearest_lines early_picks boundary_order epoch_scores first_samples matched_lines".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 ORACLES = {n: globals()[n.upper()] for n in _NAMES}

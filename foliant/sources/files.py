@@ -124,3 +124,13 @@ def tex_commands(tex: Column, xml: Column, html: Column) -> tuple[Column, Column
 def raster_command(pdf: Column, out: Column, dpi: int, first: Column, last: Column) -> Column:
     """Command line that renders pages first to last at ``dpi``."""
     return F.array(F.lit("pdftoppm"), F.lit("-png"), F.lit("-r"), F.lit(str(dpi)), F.lit("-f"), first.cast("string"), F.lit("-l"), last.cast("string"), pdf, out)
+
+
+def convert_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Every HTML file below ``source`` as markup under its stem, in Parquet; files without an article are left out."""
+    from foliant.functions import html as H
+    from foliant.functions import kernels as K
+    from foliant.operators.corpus import stem_of
+
+    markup = K.column(H.to_markup, "string", F.col("html"))
+    read_html(spark, source).select(stem_of(F.col("path")).alias("name"), markup.alias("markup")).where("markup <> ''").write.mode("overwrite").parquet(target)

@@ -54,6 +54,14 @@ def test_html_and_pdfs(spark, tmp_path):
     assert bad == "a�b"
 
 
+def test_folders_of_html_become_markup(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.html").write_text("<article><p>x</p></article>")
+    (tmp_path / "in" / "b.html").write_text("<p>no article</p>")
+    FS.convert_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", "[TEXT]\nx\n[END_TEXT]\n")]
+
+
 def test_external_commands(spark):
     tasks = spark.createDataFrame([("a", ["echo", "hi"]), ("b", ["sleep", "9"]), ("c", ["no-such-program"]), ("d", ["sh", "-c", "exit 3"])], "paper_id string, command array<string>")
     got = {r.paper_id: r for r in FS.run_external(tasks, 1.0).collect()}
@@ -134,6 +142,15 @@ def test_sums_that_divide_by_nothing(spark):
     assert all(r.m != r.m for r in means)
 
 
+def test_dots_and_shares(spark):
+    from foliant.operators import dataset as D
+
+    assert B.merged_dots([(0, 5, 4, 6), (1, 0, 2, 2), (6, 5, 3, 6)]) == [(0, 0, 4, 11), (6, 5, 3, 6)]
+    assert B.merged_dots([]) == [] and B.merged_dots(None) is None
+    with pytest.raises(ValueError, match="no parts"):
+        D.split_papers(spark.range(3).toDF("id"), "id", 0.9, 0.2)
+
+
 def test_impurity_reductions(spark):
     rows = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 0)], "x int, c int")
     each = S.interval_impurity(rows, "x", "c", [0.0, 2.0, 4.0])
