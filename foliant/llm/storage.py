@@ -60,13 +60,19 @@ def discard(df: DataFrame) -> None:
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Tables stored inside are deleted at the end, but for those stored by the function that this yields."""
+    """Tables stored inside are deleted at the end, but for those stored by the function that this yields.
+
+    Those last as long as an enclosing block of this kind, if there is one.
+    """
     made: list[str] = []
+    outer = _made.get()
     token = _made.set(made)
 
     def lasting(df: DataFrame, label: str) -> DataFrame:
         out = stored(df, label)
-        made.pop()
+        path = made.pop()
+        if outer is not None:
+            outer.append(path)
         return out
 
     try:
