@@ -15,7 +15,11 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from foliant.plans.registry import QUERIES  # noqa: E402
 
-HEADLINE = "ned_by_role token_prf token_length_stats bleu_mean line_tags duplicate_lines inverted_index islands seek_map paper_split page_concat citation_join reading_order box_overlaps grid_neighbours running_variance class_median_mad truncate_repetitions html_to_markup".split()
+HEADLINE = (
+    "ned_by_role token_prf token_length_stats bleu_mean eval_summary_delta formula_micro_prf line_tags line_ngrams duplicate_lines inverted_index candidate_lines islands seek_map paper_split page_concat "
+    "citation_join nearest_lines page_index reading_order box_overlaps box_dedup table_scores grid_neighbours running_variance stop_steps class_median_mad staircase_pages plain_formulas "
+    "html_to_markup markup_lines split_pages postprocessed truncate_repetitions"
+).split()
 
 
 def main() -> None:
