@@ -129,10 +129,10 @@ SELECT lang, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p
 
 
 def formula_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_tex(spark, sf_dir).select("doc_id", K.column(X.bodies, "array<string>", F.col("text")).alias("formulas"))
+    return _with_tex(spark, sf_dir).select("doc_id", F.array_join(K.column(X.bodies, "array<string>", F.col("text")), "|").alias("formulas"))
 
 
-FORMULA_BODIES = f"WITH {_WITH_TEX} SELECT doc_id, list_transform({_BODIES.format(c='text')}, lambda x: trim(x, E' \\n\\t\\r')) AS formulas FROM tex"
+FORMULA_BODIES = f"WITH {_WITH_TEX} SELECT doc_id, array_to_string(list_transform({_BODIES.format(c='text')}, lambda x: trim(x, E' \\n\\t\\r')), '|') AS formulas FROM tex"
 
 
 def modalities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,7 +239,7 @@ def _queries_and_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return own.select("doc_id", F.col("local_index").alias("query"), F.floor(F.col("local_index") / 2).alias("pointer"), F.substring("line", 5, 24).alias("text")), lines.select("doc_id", "local_index", "line")
 
 
-_QUERIES = f"""{LINES}, l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS local_index FROM lines WHERE trim(line) <> ''),
+_QUERIES = f"""{LINES}, l AS (SELECT doc_id, line, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS INT) AS local_index FROM lines WHERE trim(line) <> ''),
 q AS (SELECT doc_id, local_index AS query, local_index // 2 AS pointer, substr(line, 5, 24) AS text FROM l WHERE local_index % 3 = 0 AND length(line) > 40)"""
 
 

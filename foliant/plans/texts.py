@@ -226,11 +226,13 @@ def postprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def markdown_compatible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", K.column(P.markdown_compatible, "string", F.concat(F.lit("(1.2a) \\[b\\]\n\\[c\\] (3)\n"), F.replace("text", F.lit("```"), F.lit("'''")))).alias("text"))
+    """Portable markdown of every document with a form of each kind put in front."""
+    put = "(1.2a) \\[b\\]\n\\[c\\] (3)\nsee https://a.bc/d?e=1, or ftp://h.org/x. \\bm{x}```code```\n"
+    return _docs(spark, sf_dir).select("doc_id", K.column(P.markdown_compatible, "string", F.concat(F.lit(put), F.col("text"))).alias("text"))
 
 
 MARKDOWN_COMPATIBLE = r"""
-SELECT doc_id, E'\\[b \\tag{1.2a}\\]\n\\[c \\tag{3}\\]\n' || regexp_replace(replace(replace(text, '```', ''''''''), '\. ', '. '), '((?:http|ftp|https)://(?:[\pL\pN_-]+(?:(?:\.[\pL\pN_-]+)+))(?:[\pL\pN_.,@?^=%&:/~+#-]*[\pL\pN_@?^=%&/~+#-]))', '[\1](\1)', 'g') AS text FROM documents"""
+SELECT doc_id, E'\\[b \\tag{1.2a}\\]\n\\[c \\tag{3}\\]\nsee [https://a.bc/d?e=1](https://a.bc/d?e=1), or [ftp://h.org/x](ftp://h.org/x). \\mathbf{x}```\ncode\n```\n' || replace(text, '\. ', '. ') AS text FROM documents"""
 
 
 def truncate_repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
