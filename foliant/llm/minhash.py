@@ -44,7 +44,12 @@ def _number(word: bytes) -> int:
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles; A-Z lower-cased, ASCII white space parts words."""
+    """Sorted distinct 64-bit hashes of a text's word shingles; A-Z lower-cased, ASCII white space parts words.
+
+    Sets of hashes stand for sets of shingles: two texts of ten thousand shingles
+    in all are counted wrong, by one, with probability 3e-12, and only a pair
+    exactly at the threshold is judged by that one.
+    """
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, dtype=np.uint64)
@@ -133,7 +138,7 @@ class _Run:
         return stored(map_slices(texts, run, "node long, items array<long>"), "sets")
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold on full sets."""
+        """The pairs (a, b) that reach the threshold on full sets; a hub's many pairs are split by the join's skew handling."""
         one = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
         two = one.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
         both = F.size(F.array_intersect("x", "y"))
