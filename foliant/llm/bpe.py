@@ -26,7 +26,7 @@ _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{
 _ODD_SPACE = regex.compile(r"[\x1C-\x1F]")
 #: Words with more parts are merged with a heap, whose cost is n log n.
 SHORT_PARTS = 64
-#: Entries of a worker's word caches, about 200 bytes each; smaller ones double the time where words are many.
+#: Entries of a worker's word cache, about 200 bytes each; a smaller one doubles the time where words are many.
 CACHE_ENTRIES = 1_000_000
 _NEVER = 1 << 62
 
@@ -66,8 +66,8 @@ class WordCodec:
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._path, self._library, self._known = path, None, set()
         self._raw = {s: b for b, s in enumerate(symbols)}
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        #: ids of words and of what white space parts; a string has the same ids as either
+        self.cache: dict[str, bytes] = {}
 
     def word_ids(self, raw: bytes) -> list[int]:
         parts = [self.inner[b] for b in raw]
@@ -120,19 +120,22 @@ class WordCodec:
         return [p for p in parts if p >= 0]
 
     def _word(self, word: str) -> bytes:
-        got = self._words.get(word)
+        got = self.cache.get(word)
         if got is None:
             got = array("I", self.word_ids(word.encode())).tobytes()
-            if len(self._words) >= CACHE_ENTRIES:
-                self._words.clear()
+            if len(self.cache) >= CACHE_ENTRIES:
+                self.cache.clear()
             if len(word) <= SHORT_PARTS:
-                self._words[word] = got
+                self.cache[word] = got
         return got
 
     def _chunk(self, chunk: str) -> bytes:
-        got = b"".join(map(self._word, _WORDS.findall(chunk)))
+        words = _WORDS.findall(chunk)
+        if len(words) == 1:
+            return self._word(words[0])
+        got = b"".join(map(self._word, words))
         if len(chunk) <= SHORT_PARTS:
-            self._chunks[chunk] = got
+            self.cache[chunk] = got
         return got
 
     def _by_library(self, text: str) -> bytes:
@@ -158,9 +161,7 @@ class WordCodec:
             text = text.lower()
         if _ODD_SPACE.search(text):
             return b"".join(map(self._word, _WORDS.findall(text)))
-        known, miss = self._chunks, self._chunk
-        if len(known) >= CACHE_ENTRIES:
-            known.clear()
+        known, miss = self.cache, self._chunk
         return b"".join([known[c] if c in known else miss(c) for c in text.split()])
 
     def encode(self, text: str) -> bytes:
@@ -184,7 +185,7 @@ def _codec(path: str) -> WordCodec:
 def codec(path: str) -> WordCodec:
     """One codec for each worker and vocabulary."""
     c = _codec(path)
-    hold("bpe", c._words, c._chunks)
+    hold("bpe", c.cache)
     return c
 
 
