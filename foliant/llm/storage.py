@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Only for a single machine that names no shared folder.
 LOCAL_FALLBACK = "/tmp/checkpoints"
 
+#: Rows of an Arrow batch while a table is stored.
+BATCH_ROWS = 1024
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
@@ -31,6 +35,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_ROWS inside: whole texts of ten thousand rows would stand on both sides of a worker's pipe."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -42,7 +60,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     made = _made.get()
     if made is not None:
         made.append(path)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
