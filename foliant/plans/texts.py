@@ -129,11 +129,18 @@ SELECT doc_id, CASE
 def figure_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose figure blocks get coordinates; where a figure has no block the page fails and is null."""
     page = F.concat(F.lit("a\n[FIGURE:S1.F1]\n[FIGURE_TITLE]one[END_FIGURE_TITLE]\n[END_FIGURE]\n"), F.substring("text", 1, 30))
-    figures = F.array(F.struct(F.when(F.col("doc_id") % 5 == 4, "2").otherwise("1").alias("n"), F.array(F.lit(59.5), F.lit(84.2), (F.lit(119.0) + F.col("doc_id") % 7), F.lit(168.4)).alias("box"), F.array(F.lit(59.5), F.when(F.col("doc_id") % 2 == 0, 170.0).otherwise(60.0), F.lit(119.0), F.lit(80.0)).alias("caption")))
+    figures = F.array(F.struct(F.when(F.col("doc_id") % 5 == 4, "2").otherwise("1").alias("n"), F.array(F.lit(59.5), F.lit(84.2), (F.lit(119.0) + F.col("doc_id") % 7), F.lit(168.4)).alias("box"), F.array(F.lit(59.5), F.when(F.col("doc_id") % 2 == 0, 190.0).otherwise(60.0), F.lit(119.0), F.lit(80.0)).alias("caption")))
     out = K.column(lambda p, f: M.with_coordinates(p, [tuple(x) for x in f]), "string", F.col("page"), F.col("figures"))
     return table(spark, sf_dir, "documents").select("doc_id", page.alias("page"), figures.alias("figures")).select("doc_id", out.alias("page"))
 
 
+FIGURE_COORDINATES = r"""
+WITH f AS (
+  SELECT doc_id, substr(text, 1, 30) AS t, '[FIGURE_COORDS](x1=0.1, y1=0.8, x2=' || regexp_replace(format('{:.4f}', round((119 + doc_id % 7) / 595.0::DOUBLE, 4)), '(\.[0-9]+?)0+$', '\1') || ', y2=0.9)[END_FIGURE_COORDS]' AS c FROM documents
+)
+SELECT doc_id, CASE WHEN doc_id % 5 <> 4 THEN E'a\n[FIGURE:S1.F1]\n' || CASE WHEN doc_id % 2 = 0 THEN c || E'\n[FIGURE_TITLE]one[END_FIGURE_TITLE]' ELSE E'[FIGURE_TITLE]one[END_FIGURE_TITLE]\n' || c END || E'\n\n[END_FIGURE]\n' || t END AS page FROM f"""
+
+
 # -- TeX --------------------------------------------------------------------------------------
 _SOURCES = ["% c\n\\title{a {b {c}} d} x % y\n\n\n100\\% z\n", "\\maketitle\\author{A}\n  % only\nb\n", "\\date{{{{deep}}}} \\author{open\n", "a\\author{A {B}}%\n%\n"]
 
@@ -252,6 +259,6 @@ DISCLAIMERS = r"""
 SELECT conv_id, turn, text || CASE WHEN turn % 3 = 0 OR turn % 4 = 1 THEN '' ELSE CASE WHEN turn % 3 = 2 THEN E'\n\n+++ ==WARNING: Truncated because of repetitions==\n' ELSE E'\n\n+++ ==ERROR: No output for this page==\n' END
   || '\begin{table}' || role || ' \end{table}' || E'\n+++\n\n' END AS page FROM conversations"""
 
-_SQL = "text_nodes first_pages tex_sources bibliographies fixed_bibliographies plain_formulas normal_formulas markdown_compatible disclaimers".split()
-QUERIES = {n: globals()[n] for n in [*_SQL, "html_to_markup", "markup_lines", "split_pages", "figure_coordinates", "postprocessed", "truncate_repetitions"]}
+_SQL = "text_nodes figure_coordinates first_pages tex_sources bibliographies fixed_bibliographies plain_formulas normal_formulas markdown_compatible disclaimers".split()
+QUERIES = {n: globals()[n] for n in [*_SQL, "html_to_markup", "markup_lines", "split_pages", "postprocessed", "truncate_repetitions"]}
 ORACLES = {n: globals()[n.upper()] for n in _SQL}
