@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .slices import CACHE_ENTRIES, hold, map_slices
-from .storage import discard, stored, temporary
+from .storage import brief_shuffles, discard, stored, temporary
 
 #: Minima that make up one coordinate.  With one, unrelated texts meet by chance in numbers that grow with
 #: the square of the corpus; with two, the chance is squared.
@@ -175,49 +175,66 @@ class _Run:
         matches = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, m: s + m)
         return stored(sure.unionByName(both.where(matches >= MATCHES).select("a", "b")), "pairs")
 
-    def star_pairs(self, posts: DataFrame, nodes: DataFrame) -> DataFrame:
+    def lists(self, posts: DataFrame) -> DataFrame:
+        """token, node, hub, n: the posting lists of several nodes, with each list's commonest node and its length."""
+        rows = posts.select(F.explode("tokens").alias("token"), "node", "common")
+        hubs = rows.groupBy("token").agg(F.max(F.struct("common", -F.col("node"))).alias("top"), F.count("*").alias("n")).where("n > 1").select("token", (-F.col("top.col2")).alias("hub"), "n")
+        return stored(rows.select("token", "node").join(hubs, "token"), "lists")
+
+    def star_pairs(self, lists: DataFrame, nodes: DataFrame) -> DataFrame:
         """Each posted node with the commonest node of its list, if enough coordinates match."""
-        lists = posts.select(F.explode("tokens").alias("token"), "node", "common")
-        hubs = lists.groupBy("token").agg(F.max(F.struct("common", -F.col("node"))).alias("top"), F.count("*").alias("n")).where("n > 1").select("token", (-F.col("top.col2")).alias("hub"))
-        pairs = lists.join(hubs, "token").where("node <> hub").groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.count("*").alias("hits"))
+        pairs = lists.where("node <> hub").groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.count("*").alias("hits"))
         return self.matching(stored(pairs, "collisions"), nodes)
 
-    def cross_pairs(self, posts: DataFrame, comps: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    def cross_pairs(self, lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         """Pairs that share a posting but no component yet and may still reach the threshold; and their sets.
 
-        Each list that holds several components has a hub, its commonest node,
-        with which all its nodes have been compared.  What two nodes can share is
-        bounded twice, and a pair is met only where a bound allows it, in a second
-        inverted join on rare shingles (``_met``): by their sets as they are, and
-        by what sets them apart from a centre that both resemble (``_apart``).
-        Nodes that hold too many shingles of their own drop out first.
+        Each list has a hub, its commonest node, with which all its nodes have
+        been compared, so only lists whose other nodes are of several components
+        are open.  The pairs of short ones are counted as they are; in longer ones
+        what two nodes can share is bounded twice, and a pair is met only where a
+        bound allows it, in a second inverted join on rare shingles (``_met``): by
+        their sets as they are, and by what sets them apart from a centre that
+        both resemble (``_apart``).  Nodes that hold too many shingles of their
+        own drop out first.
         """
-        labelled = posts.join(comps, "node", "left").select("node", "common", "tokens", F.coalesce("comp", "node").alias("comp"))
-        lists = labelled.select(F.explode("tokens").alias("token"), "node", "common", "comp")
-        tops = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("common", -F.col("node"))).alias("top"))
-        mixed = stored(tops.where("lo <> hi").select("token", (-F.col("top.col2")).alias("hub")), "mixed")
-        spokes = stored(lists.join(mixed, "token").select("node", "comp", "hub").distinct(), "spokes")
-        if spokes.isEmpty():
+        labelled = lists.join(comps, "node", "left").select("token", "n", "node", F.coalesce("comp", "node").alias("comp"), "hub")
+        open_lists = labelled.where("node <> hub").groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+        mixed = stored(labelled.join(open_lists, "token"), "mixed")
+        if mixed.isEmpty():
             return None
+        short = self._short_pairs(mixed.where(F.col("n") <= SHORT_LIST), nodes)
+        spokes = mixed.where(F.col("n") > SHORT_LIST).select("node", "comp", "hub").distinct()
+        deals = spokes.groupBy("hub").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("deals"))
+        spokes = stored(spokes.join(deals, "hub"), "spokes")
         open_ = spokes.select("node", "comp").distinct()
-        sets = self.sets(open_, nodes.select("node", "doc_id", "text_hash"))
-        alone = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
+        wanted = open_.select("node").unionByName(short.select(F.col("a").alias("node"))).unionByName(short.select(F.col("b").alias("node")))
+        sets = self.sets(wanted, nodes.select("node", "doc_id", "text_hash"))
+        own = sets.join(open_, "node")
+        alone = own.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
         s, u = F.size("items"), F.coalesce("u", F.lit(0))
-        live = sets.join(alone, "node", "left").where(100 * (s - u) >= self.percent * s).select("node", "items")
-        live = stored(live.join(open_, "node"), "live")
-        x = spokes.select("node", "hub").join(live, "node")
-        hubs = sets.select(F.col("node").alias("hub"), F.col("items").alias("centre")).join(mixed.select("hub").distinct(), "hub", "left_semi")
-        hubs = stored(hubs, "hubs")
-        x = _salted(x, hubs, "hub")
+        live = stored(own.join(alone, "node", "left").where(100 * (s - u) >= self.percent * s).select("node", "comp", "items"), "live")
+        hubs = stored(sets.select(F.col("node").alias("hub"), F.col("items").alias("centre")).join(spokes.select("hub", "deals").distinct(), "hub"), "hubs")
+        x = _dealt(spokes.select("node", "hub", "deals").join(live, "node"), hubs, "hub")
         shared = F.size(F.array_intersect("items", "centre"))
-        near = x.select("node", "comp", "hub", "items", (shared / (F.size("items") + F.size("centre") - shared)).alias("like"))
+        near = x.select("node", "comp", "hub", "deals", "items", (shared / (F.size("items") + F.size("centre") - shared)).alias("like"))
         near = stored(near, "near")
         # a linked pair is less than 1 - percent / 100 apart in likeness to any third set
         far = near.where(F.col("like") < RESEMBLES + (100 - self.percent) / 100).select("node").distinct()
         plain = live.join(far, "node").select("node", "comp", F.lit(-1).cast("long").alias("hub"), F.lit(0).alias("side"), F.col("items").alias("d"), (-F.floor(-F.size("items") * self.percent / 100)).cast("long").alias("need"))
         apart, direct = self._apart(near.where(F.col("like") >= RESEMBLES), hubs)
-        met = self._met(stored(plain.unionByName(apart), "bounded"))
-        return stored(met.unionByName(direct).distinct(), "pairs"), sets
+        bounded = stored(plain.unionByName(apart), "bounded")
+        for done in (live, near, hubs):
+            discard(done)
+        met = self._met(bounded)
+        return stored(met.unionByName(direct).unionByName(short).distinct(), "pairs"), sets
+
+    def _short_pairs(self, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) of rows (token, node, comp, hub) from different components that share a list and match in MATCHES coordinates."""
+        rest = mixed.where("node <> hub")
+        x, y = rest.alias("x"), rest.alias("y")
+        ends = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") < F.col("y.comp"))).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        return self.matching(stored(ends.groupBy("a", "b").agg(F.count("*").alias("hits")), "collisions"), nodes)
 
     def _apart(self, near: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows for ``_met`` of what sets nodes (node, comp, hub, items) apart from their hub's centre; and pairs that the centre proves.
@@ -233,13 +250,13 @@ class _Run:
         big = near.groupBy("hub").agg(F.count("*").alias("voters")).where(F.col("voters") >= VOTERS)
         held = near.join(big, "hub").select("hub", "voters", F.explode("items").alias("item")).groupBy("hub", "voters", "item").agg(F.count("*").alias("n"))
         agreed = stored(held.where("2 * n > voters").groupBy("hub").agg(F.collect_list("item").alias("agreed")), "centres")
-        centres = hubs.join(near.select("hub").distinct(), "hub", "left_semi").join(agreed, "hub", "left").select("hub", F.coalesce("agreed", "centre").alias("centre"))
+        centres = hubs.join(near.select("hub").distinct(), "hub", "left_semi").join(agreed, "hub", "left").select("hub", "deals", F.coalesce("agreed", "centre").alias("centre"))
         a, b = 100 + self.percent, 100 - self.percent
         d = F.concat(F.array_except("items", "centre"), F.array_except("centre", "items"))
-        rows = _salted(near, centres, "hub").select("node", "comp", "hub", F.size("items").alias("s"), d.alias("d"))
+        rows = _dealt(near, centres, "hub").select("node", "comp", "hub", "deals", F.size("items").alias("s"), d.alias("d"))
         rows = stored(rows.withColumn("w", (F.size("d") * a - b * F.col("s")).cast("long")), "apart")
-        least = rows.groupBy("hub").agg(F.min(F.struct("w", "node")).alias("m")).select("hub", F.col("m.w").alias("wm"), F.col("m.node").alias("m"))
-        rows = _salted(rows, least, "hub")
+        least = rows.groupBy("hub", "deals").agg(F.min(F.struct("w", "node")).alias("m")).select("hub", "deals", F.col("m.w").alias("wm"), F.col("m.node").alias("m"))
+        rows = _dealt(rows, least, "hub")
         inner = F.col("w") + F.col("wm") <= 0
         direct = rows.where(inner & (F.col("node") != F.col("m"))).select(F.least("node", "m").alias("a"), F.greatest("node", "m").alias("b"))
         tight = F.floor((F.col("w") - F.col("wm")) / (2 * a)) + 1  # the other one lies outside
@@ -271,23 +288,25 @@ class _Run:
         return stored(ends.distinct(), "pairs")
 
 
-def _salted(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """An equi-join on ``key`` whose left rows of one key are dealt over SALTS tasks; ``right`` has a row per key."""
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.withColumn("__salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(copies, [key, "__salt"]).drop("__salt")
+def _dealt(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """An equi-join on ``key`` whose left rows of one key are dealt over ``deals`` tasks; ``right`` has a row per key, and both the key's ``deals``."""
+    copies = right.withColumn("__deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    return left.withColumn("__deal", F.pmod(F.xxhash64("node"), F.col("deals")).cast("int")).join(copies, [key, "__deal"]).drop("__deal")
 
 
 #: Likeness to a hub from which on nodes are told apart by how they differ from its centre.
 RESEMBLES = 0.2
 #: Nodes of a hub from which on its centre is what most of them hold.
 VOTERS = 16
-#: Tasks over which the nodes of one hub are dealt when its set is joined to them.
-SALTS = 8
+#: Nodes of one hub that are dealt to one task, on average, when its set is joined to them; each task gets a copy of the set.
+DEAL = 64
+#: Nodes of a list, its hub among them, up to which its pairs are counted as they are.
+SHORT_LIST = 8
 
 
 def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of each row."""
-    with temporary(docs.sparkSession) as lasting:
+    with temporary(docs.sparkSession) as lasting, brief_shuffles(docs.sparkSession):
         run = _Run(docs, width, percent, id_col, text_col)
         signed = run.signed()
         firsts = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("uid").alias("node"), F.min("doc_id").alias("least_id"))
@@ -295,13 +314,18 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         nodes = stored(signed.join(firsts.select(F.col("node").alias("uid")), "uid", "left_semi").select(F.col("uid").alias("node"), "doc_id", "text_hash", "sign"), "nodes")
         keys = nodes.select("node", "doc_id", "text_hash")
         posts = run.postings(nodes)
-        pairs = run.star_pairs(posts, nodes)
+        lists = run.lists(posts)
+        discard(posts)
+        pairs = run.star_pairs(lists, nodes)
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        links = run.confirmed(pairs, run.sets(ends, keys))
+        sets = run.sets(ends, keys)
+        links = run.confirmed(pairs, sets)
+        discard(sets)
         comps = components(links)
-        cross = run.cross_pairs(posts, comps, nodes)
+        cross = run.cross_pairs(lists, comps, nodes)
         if cross is not None:
             more = run.confirmed(*cross)
+            discard(cross[1])
             if not more.isEmpty():
                 comps = components(links.unionByName(more))
         least = comps.join(firsts.select("node", "least_id"), "node").groupBy("comp").agg(F.min("least_id").alias("component_id"))
@@ -324,7 +348,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Equal sets become one node.  Nodes are posted under their rarest signature
     coordinates; in each list all are compared with the list's commonest node,
     which settles dense groups in linear work.  What then shares a list across
-    components is met again by rare shingles (``cross_pairs``).  Signatures only
+    components, the hub apart, is counted pair by pair in short lists and met
+    again by rare shingles in longer ones (``cross_pairs``).  Signatures only
     select: links are confirmed on full sets.
     """
     out = _classes(docs, width, percent, id_col, text_col).drop("text_hash")
