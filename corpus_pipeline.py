@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from foliant.llm import exact_dedup, minhash, packing, pii, quality
 from foliant.llm.storage import stored, temporary
 
+#: Bytes of a worker's word cache in packing: workers stand beside heaps that the stages before have filled.
+PACKING_CACHE_BYTES = 48 << 20
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from ``labels``, predicts 1; a score of exactly 0.5 is 1.
@@ -54,7 +57,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row is packed, repeated ones too; which of equally good places a piece
     takes is not defined.
     """
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, cache_bytes=PACKING_CACHE_BYTES)
 
 
 STAGES = [

@@ -9,6 +9,7 @@ import functools
 import hashlib
 import heapq
 import json
+import sys
 import unicodedata
 import zlib
 from array import array
@@ -26,8 +27,10 @@ _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{
 _ODD_SPACE = regex.compile(r"[\x1C-\x1F]")
 #: Words with more parts are merged with a heap, whose cost is n log n.
 SHORT_PARTS = 64
-#: Entries of a worker's word cache, about 200 bytes each; a smaller one doubles the time where words are many.
-CACHE_ENTRIES = 1_000_000
+#: Bytes of a worker's word cache, about a million words; with 48 MB, some 300,000, texts of many words take half as long again.
+CACHE_BYTES = 160 << 20
+#: Of an entry besides its two objects: its place in the table and what allocation rounds up.
+ENTRY_BYTES = 64
 _NEVER = 1 << 62
 
 
@@ -68,6 +71,7 @@ class WordCodec:
         self._raw = {s: b for b, s in enumerate(symbols)}
         #: ids of words and of what white space parts; a string has the same ids as either
         self.cache: dict[str, bytes] = {}
+        self.cache_bytes, self._used = CACHE_BYTES, 0
 
     def word_ids(self, raw: bytes) -> list[int]:
         parts = [self.inner[b] for b in raw]
@@ -119,14 +123,31 @@ class WordCodec:
                 offer(before[i])
         return [p for p in parts if p >= 0]
 
+    def _keep(self, key: str, ids: bytes) -> None:
+        """Into the cache, if ``key`` is short; a full cache keeps the half that came first, for common words come early."""
+        if len(key) > SHORT_PARTS:
+            return
+        size = sys.getsizeof(key) + sys.getsizeof(ids) + ENTRY_BYTES
+        if not self.cache:  # another operator had the worker
+            self._used = 0
+        if self._used + size > self.cache_bytes:
+            first, self._used = {}, 0
+            for k, v in self.cache.items():
+                more = sys.getsizeof(k) + sys.getsizeof(v) + ENTRY_BYTES
+                if self._used + more > self.cache_bytes // 2:
+                    break
+                first[k] = v
+                self._used += more
+            self.cache.clear()
+            self.cache.update(first)
+        self._used += size
+        self.cache[key] = ids
+
     def _word(self, word: str) -> bytes:
         got = self.cache.get(word)
         if got is None:
             got = array("I", self.word_ids(word.encode())).tobytes()
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            if len(word) <= SHORT_PARTS:
-                self.cache[word] = got
+            self._keep(word, got)
         return got
 
     def _chunk(self, chunk: str) -> bytes:
@@ -134,8 +155,7 @@ class WordCodec:
         if len(words) == 1:
             return self._word(words[0])
         got = b"".join(map(self._word, words))
-        if len(chunk) <= SHORT_PARTS:
-            self.cache[chunk] = got
+        self._keep(chunk, got)
         return got
 
     def _by_library(self, text: str) -> bytes:
@@ -182,9 +202,10 @@ def _codec(path: str) -> WordCodec:
     return WordCodec(path)
 
 
-def codec(path: str) -> WordCodec:
-    """One codec for each worker and vocabulary."""
+def codec(path: str, cache_bytes: int | None = None) -> WordCodec:
+    """One codec for each worker and vocabulary; its cache is held to ``cache_bytes``, else CACHE_BYTES."""
     c = _codec(path)
+    c.cache_bytes = cache_bytes or CACHE_BYTES
     hold("bpe", c.cache)
     return c
 
@@ -222,11 +243,11 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     return map_slices(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def piece_table(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def piece_table(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and ``end_id``, cut into ``size`` tokens."""
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        c = codec(path)
+        c = codec(path, cache_bytes)
         tail, step = array("I", [end_id]).tobytes(), 4 * size
         rows = []
         for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):

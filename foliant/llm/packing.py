@@ -133,15 +133,16 @@ def pack(pieces: DataFrame) -> DataFrame:
     return done.unionByName(number(left, max(0, k - 1)))
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece.
 
     A document is its ids and id 0; only documents above ``CAPACITY`` tokens
     are cut.  Null and empty texts are the single id 0.  Repeated rows are
-    packed as rows of their own; null ids stay null.
+    packed as rows of their own; null ids stay null.  ``cache_bytes`` bounds the
+    word cache of a worker and bears on time only.
     """
     with temporary(docs.sparkSession) as lasting:
-        pieces = bpe.piece_table(docs, path or bpe.vocabulary_path(), CAPACITY, 0, id_col, text_col)
+        pieces = bpe.piece_table(docs, path or bpe.vocabulary_path(), CAPACITY, 0, id_col, text_col, cache_bytes)
         held = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
         placed = pack(held.select("uid", "length"))
         return lasting(held.join(placed, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"), "sequences")
