@@ -18,7 +18,7 @@ from foliant.functions import text as T
 from foliant.operators import paging as G
 from foliant.sources import files as FS
 
-from .tables import spread, table
+from .tables import dealt, table
 
 
 def _pick(choices: list[str], key: str = "doc_id") -> Column:
@@ -27,7 +27,7 @@ def _pick(choices: list[str], key: str = "doc_id") -> Column:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 # -- pages ----------------------------------------------------------------------------------
@@ -43,7 +43,7 @@ _EXTRA = [
 
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, html with a LaTeXML form in it; pages come in normal form."""
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    pages = dealt(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     return pages.select("page_id", F.replace(FS.normalised_html(F.col("html")), F.lit("</article>"), F.concat(_pick(_EXTRA, "page_id"), F.lit("</article>"))).alias("html"))
 
 
@@ -51,11 +51,17 @@ def _markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html(spark, sf_dir).select("page_id", K.column(H.to_markup, "string", F.col("html")).alias("markup"))
 
 
+def _article(html: str | None) -> tuple:
+    """Markup of a page's article, its bibliography items and the names of its floats."""
+    markup, references = H.to_markup(html), H.bibliography(html)
+    names = None if markup is None else ",".join(sorted(H.floats(markup)))
+    return markup, None if references is None else "\n".join(x for x in references if x is not None), names
+
+
 def html_to_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markup of every page's article, its bibliography items and the names of its floats."""
-    pages = _html(spark, sf_dir).select("page_id", K.column(H.to_markup, "string", F.col("html")).alias("markup"), K.column(H.bibliography, "array<string>", F.col("html")).alias("references"))
-    names = K.column(lambda m: None if m is None else sorted(H.floats(m)), "array<string>", F.col("markup"))
-    return pages.select("page_id", "markup", F.array_join("references", "\n").alias("references"), F.array_join(names, ",").alias("floats"))
+    """``_article`` of every page: one kernel, as every kernel of a task has a worker of its own."""
+    pages = _html(spark, sf_dir).select("page_id", K.column(_article, "struct<markup:string,references:string,floats:string>", F.col("html")).alias("a"))
+    return pages.select("page_id", "a.*")
 
 
 def text_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,14 +86,15 @@ def markup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every page's markup with tag and match text, and how many float objects it has; an author block and a nested text tag put in."""
     put = "[AUTHOR]\nA. One\n[FOOTNOTE:1]1mail[END_FOOTNOTE]\n B. Two\n[END_AUTHOR]\n[TEXT]a[TEXT]b[END_TEXT]\\pagebreak c[END_TEXT]\n[ALGORITHM]\n[ALGORITHM_TITLE]alg[END_ALGORITHM_TITLE]\n```\nx\n```\n[END_ALGORITHM]\n"
 
-    def run(markup: str | None) -> dict | None:
+    def run(html: str | None) -> dict | None:
+        markup = H.to_markup(html)
         if markup is None:
             return None
-        got = M.parsed(markup)
+        got = M.parsed(put + markup)
         return {"objects": len(got.objects), "lines": [{"line": x, "tag": t, "match": M.match_text(x, t)} for x, t in zip(got.lines, got.tags, strict=True)]}
 
-    parsed = K.column(run, "struct<objects:int,lines:array<struct<line:string,tag:string,match:string>>>", F.concat(F.lit(put), F.col("markup")))
-    rows = _markup(spark, sf_dir).select("page_id", parsed.alias("p"))
+    parsed = K.column(run, "struct<objects:int,lines:array<struct<line:string,tag:string,match:string>>>", F.col("html"))
+    rows = _html(spark, sf_dir).select("page_id", parsed.alias("p"))
     return rows.select("page_id", "p.objects", F.posexplode("p.lines").alias("line_no", "l")).select("page_id", "objects", "line_no", "l.*")
 
 
@@ -102,9 +109,13 @@ def plain_pages(markup: str | None, width: int = 70, height: int = 12) -> list[l
 
 def split_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's markup split into the pages of its printed text."""
-    rows = _markup(spark, sf_dir).withColumn("pages", K.column(plain_pages, "array<array<string>>", F.col("markup")))
-    split = K.column(G.split_markup, "array<struct<text:string,valid:boolean>>", F.col("markup"), F.col("pages"))
-    return rows.select("page_id", F.posexplode(split).alias("page", "p")).select("page_id", "page", "p.text", "p.valid")
+
+    def run(html: str | None) -> list | None:
+        markup = H.to_markup(html)
+        return G.split_markup(markup, plain_pages(markup))
+
+    split = K.column(run, "array<struct<text:string,valid:boolean>>", F.col("html"))
+    return _html(spark, sf_dir).select("page_id", F.posexplode(split).alias("page", "p")).select("page_id", "page", "p.text", "p.valid")
 
 
 def first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
