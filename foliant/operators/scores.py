@@ -81,39 +81,3 @@ def filled_forward(rows: DataFrame, order: str, value: str) -> DataFrame:
     """``value`` of classes without one from the class before, 0 in front of all; one row per class."""
     before = F.last(value, ignorenulls=True).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn(value, F.coalesce(before, F.lit(0.0)))
-
-
-def repetition_cut(scores: DataFrame, by: str, pos: str, score: str, size: int = 15, least: int = 10, low: float = 0.045) -> DataFrame:
-    """by, n, cut: where a repeating tail begins; null if none does.
-
-    Spreads of full windows, the variance of each tail of ten spreads or more,
-    and the first tail below ``low``, if such tails are several and have no gap.
-    A cut in the last tenth is none, one before 30 is 0.
-    """
-    spreads = window_variance(scores, by, pos, score, size).withColumn("__k", F.row_number().over(Window.partitionBy(by).orderBy(pos)) - 1)
-    tails = suffix_variance(spreads, by, pos, "spread", "variation").withColumn("__left", F.count("*").over(Window.partitionBy(by)) - F.col("__k"))
-    small = F.when((F.col("__k") >= 1) & (F.col("__left") >= least) & (F.col("variation") < low), F.col("__k") - 1)
-    found = tails.groupBy(by).agg(F.min(small).alias("first"), F.max(small).alias("last"), F.count(small).alias("hits"))
-    sizes = scores.groupBy(by).agg(F.count("*").alias("n")).join(found, by, "left")
-    place = F.floor(F.least(F.greatest(F.col("first"), F.lit(1)) * 1.08 + 120, F.lit(4095.0))).cast("int")
-    whole = (F.col("hits") > 1) & (F.col("last") - F.col("first") + 1 == F.col("hits")) & (place / F.col("n") <= 0.9)
-    return sizes.select(by, "n", F.when(whole, F.when(F.col("first") < 30, 0).otherwise(place)).alias("cut"))
-
-
-def stop_step(scores: DataFrame, by: str, pos: str, score: str, size: int = 15, window: int = 200, low: float = 0.015) -> DataFrame:
-    """by, stop: the step at which generation is stopped; null if it is not.
-
-    Sample variance over the last ``size`` scores over their number, its sample
-    variance over the last ``window``; two steps in a row below ``low`` stop it,
-    as long as the place then set lies ahead.
-    """
-    w = Window.partitionBy(by).orderBy(pos)
-    near = w.rowsBetween(-(size - 1), 0)
-    spread = F.coalesce(F.var_samp(score).over(near) / F.count("*").over(near), F.lit(0.0))
-    step = F.row_number().over(w)
-    rows = scores.withColumn("spread", spread).withColumn("step", step)
-    rows = rows.withColumn("below", (F.col("step") >= window) & (F.coalesce(F.var_samp("spread").over(w.rowsBetween(-(window - 1), 0)), F.lit(0.0)) < low))
-    ahead = F.floor(F.least((F.col("step") - 1) * 1.15 + 150 + window, F.lit(4095.0)))
-    stops = rows.withColumn("stops", F.col("below") & F.coalesce(F.lag("below").over(w), F.lit(False)) & (ahead >= F.col("step")))
-    return stops.groupBy(by).agg(F.min(F.when(F.col("stops"), F.col("step"))).alias("stop"))
-
