@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +87,101 @@ def greedy_matches(truth: list | None, found: list | None, least: float) -> list
     return out
 
 
+#: Pairs of boxes that are compared at once; a page is never parted.
+PAIRS = 1 << 18
+
+
+def _pages(a: pa.Array) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
+    """Boxes of a list column: ids, columns x1, y1, x2, y2, score, and where each page's begin; a null page has none."""
+    ids, *numbers = a.flatten().flatten()
+    return ids, [c.to_numpy(zero_copy_only=False) for c in numbers], np.concatenate([[0], np.cumsum(a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def _overlaps(a: list[np.ndarray], i: np.ndarray, b: list[np.ndarray], j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common area of boxes i of ``a`` and j of ``b``, and their own areas."""
+    (ax, ay, au, av, _), (bx, by, bu, bv, _) = a, b
+    both = np.maximum(0.0, np.minimum(au[i], bu[j]) - np.maximum(ax[i], bx[j])) * np.maximum(0.0, np.minimum(av[i], bv[j]) - np.maximum(ay[i], by[j]))
+    return both, (au[i] - ax[i]) * (av[i] - ay[i]), (bu[j] - bx[j]) * (bv[j] - by[j])
+
+
+def _pairs(first: np.ndarray, second: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of every box of one side with every box of the other, page by page, of pages ``low`` to ``high`` - 1."""
+    n, m = np.diff(first[low : high + 1]), np.diff(second[low : high + 1])
+    i = np.repeat(np.arange(first[low], first[high]), np.repeat(m, n))
+    width = np.repeat(m, n)
+    ends = np.cumsum(width)
+    j = np.arange(len(i)) - np.repeat(ends - width, width) + np.repeat(np.repeat(second[low:high], n), width)
+    return i, j
+
+
+def _spans(first: np.ndarray, second: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of pages of about ``PAIRS`` pairs."""
+    pairs = np.cumsum(np.diff(first) * np.diff(second))
+    low = 0
+    while low < len(pairs):
+        done = pairs[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(pairs, done + PAIRS, side="right")))
+        yield low, high
+        low = high
+
+
+def _listed(at: np.ndarray, rows: np.ndarray, items: pa.Array) -> pa.Array:
+    """Lists of ``items`` at the rising ``rows``, a list a page."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, at), pa.int32()), items)
+
+
+def deduped_pages(pages: pa.Array, least: float = 0.7, inside: float = 0.9) -> pa.Array:
+    """``deduped`` of many pages at once; a page of more than ``PAIRS`` pairs goes through it alone.
+
+    A box's comparisons depend on no other box's: they end at the first later box that it loses to.
+    """
+    ids, held, at = _pages(pages)
+    stays = np.ones(len(ids), dtype=bool)
+    for low, high in _spans(at, at):
+        if (at[high] - at[low]) ** 2 > PAIRS and high == low + 1:
+            rows = list(zip(range(at[low], at[high]), *(c[at[low] : at[high]].tolist() for c in held), strict=True))
+            stays[at[low] : at[high]] = False
+            stays[np.array(deduped(rows, least, inside), dtype=np.int64)] = True
+            continue
+        i, j = _pairs(at, at, low, high)
+        i, j = i[i < j], j[i < j]
+        both, a, b = _overlaps(held, i, held, j)
+        some = both > 0
+        i, j, both, a, b = i[some], j[some], both[some], a[some], b[some]
+        much = both / (a + b - both) > least
+        first = np.where(much, held[4][i] < held[4][j], both / a > inside)
+        second = ~first & (much | (both / b > inside))
+        until = np.full(at[high] - at[low], len(stays))
+        np.minimum.at(until, i[first] - at[low], j[first])
+        stays[i[first]] = False
+        stays[j[second & (j < until[i - at[low]])]] = False
+    return _listed(at, np.flatnonzero(stays), ids.filter(pa.array(stays)))
+
+
+def matched_pages(truth: pa.Array, found: pa.Array, least: float) -> pa.Array:
+    """``greedy_matches`` of many pages at once: only overlaps that are large enough are gone through box by box."""
+    truth_ids, t, at = _pages(truth)
+    found_ids, f, to = _pages(found)
+    out: list[tuple[int, int]] = []
+    for low, high in _spans(at, to):
+        if (at[high] - at[low]) * (to[high] - to[low]) > PAIRS and high == low + 1:
+            sides = (list(zip(range(x[low], x[high]), *(c[x[low] : x[high]].tolist() for c in cs), strict=True)) for x, cs in ((at, t), (to, f)))
+            out += greedy_matches(*sides, least)
+            continue
+        i, j = _pairs(at, to, low, high)
+        both, a, b = _overlaps(t, i, f, j)
+        hits = both > 0
+        hits[hits] = both[hits] / (a[hits] + b[hits] - both[hits]) >= least
+        last, taken = -1, set()
+        for n, m in zip(i[hits].tolist(), j[hits].tolist(), strict=True):
+            if n != last and m not in taken:
+                out.append((n, m))
+                taken.add(m)
+                last = n
+    rows = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return _listed(at, rows[:, 0], pa.StructArray.from_arrays([truth_ids.take(pa.array(rows[:, 0])), found_ids.take(pa.array(rows[:, 1]))], ["truth_id", "found_id"]))
+
+
 def clusters(values: list[float], k: int) -> list[int]:
     """Optimal one-dimensional k-means labels, numbered from left to right; ties go to the leftmost cuts.
 
@@ -140,7 +238,7 @@ def _gathered(boxes: DataFrame) -> Column:
 def without_duplicates(boxes: DataFrame) -> DataFrame:
     """page_id, box_id of the boxes that ``deduped`` keeps on each page, in order of their ids."""
     pages = boxes.groupBy("page_id").agg(_gathered(boxes).alias("b"))
-    return pages.select("page_id", F.explode(K.column(deduped, "array<bigint>", F.col("b"))).alias("box_id"))
+    return pages.select("page_id", F.explode(K.batches(deduped_pages, "array<bigint>", F.col("b"))).alias("box_id"))
 
 
 def with_columns(boxes: DataFrame, dominant: Column) -> DataFrame:
@@ -155,17 +253,22 @@ def matched_one_to_one(truth: DataFrame, found: DataFrame, least: float) -> Data
     """page_id, truth_id, found_id by ``greedy_matches`` on each page, boxes in order of their ids."""
     a = truth.groupBy("page_id").agg(_gathered(truth).alias("t"))
     b = found.groupBy("page_id").agg(_gathered(found).alias("f"))
-    pairs = K.column(lambda t, f: greedy_matches(t, f, least), "array<struct<truth_id:bigint,found_id:bigint>>", F.col("t"), F.col("f"))
+    pairs = K.batches(lambda t, f: matched_pages(t, f, least), "array<struct<truth_id:bigint,found_id:bigint>>", F.col("t"), F.col("f"))
     return a.join(b, "page_id").select("page_id", F.explode(pairs).alias("p")).select("page_id", "p.truth_id", "p.found_id")
 
 
 def mapped_cells(truth: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """page_id, truth_id, found_id: each true cell and the first found cell that it overlaps by ``least``; not one to one."""
+    return cells_by_threshold(truth, found, (least,)).select("page_id", "truth_id", F.element_at("firsts", 1).alias("found_id"))
+
+
+def cells_by_threshold(truth: DataFrame, found: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
+    """page_id, truth_id, firsts: for each true cell the first found cell that it overlaps by each threshold, null if none; one join for all of them."""
     t, f = truth.alias("t"), found.alias("f")
     a, b = G.box("t"), G.box("f")
     near = t.join(f, (F.col("t.page_id") == F.col("f.page_id")) & (a[0] < b[2]) & (b[0] < a[2]) & (a[1] < b[3]) & (b[1] < a[3]))
-    hits = near.where(G.iou(a, b) >= least).groupBy(F.col("t.page_id").alias("page_id"), F.col("t.box_id").alias("truth_id"))
-    return hits.agg(F.min("f.box_id").alias("found_id"))
+    pairs = near.select(F.col("t.page_id").alias("page_id"), F.col("t.box_id").alias("truth_id"), F.col("f.box_id").alias("found_id"), G.iou(a, b).alias("iou")).where(F.col("iou") >= min(thresholds))
+    return pairs.groupBy("page_id", "truth_id").agg(F.array(*[F.min(F.when(F.col("iou") >= least, F.col("found_id"))) for least in thresholds]).alias("firsts"))
 
 
 def adjacency_hits(truth: DataFrame, found: DataFrame, mapping: DataFrame) -> DataFrame:
