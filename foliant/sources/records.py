@@ -90,14 +90,20 @@ def table_xml(boxes: DataFrame) -> DataFrame:
     return tables.select("page_id", F.concat(head, F.array_join(parts, ""), F.lit("</document>")).alias("xml"))
 
 
+#: What an annotation file says of its objects, as text.
+VOC = "object array<struct<name:string,bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>"
+
+
 def voc_objects(files: DataFrame) -> DataFrame:
-    """Columns of ``files`` but xml, and label, x1, y1, x2, y2 of every object of an annotation file; broken files have none."""
-    of = lambda path: F.xpath("xml", F.lit(f"/annotation/object/{path}/text()"))
-    names = ["label", "x1", "y1", "x2", "y2"]
-    paths = ["name", "bndbox/xmin", "bndbox/ymin", "bndbox/xmax", "bndbox/ymax"]
+    """Columns of ``files`` but xml, and label, x1, y1, x2, y2 of every object of an annotation file; broken files have none.
+
+    A file is parsed once.
+    """
+    kept = [c for c in files.columns if c != "xml"]
     held = files.where(F.col("xml").rlike(r"(?s)^\s*<(\?xml.*?\?>\s*<)?annotation\b.*</annotation>\s*\z"))
-    rows = held.select(*[c for c in files.columns if c != "xml"], F.explode(F.arrays_zip(*[of(p).alias(n) for n, p in zip(names, paths, strict=True)])).alias("o"))
-    return rows.select(*[c for c in files.columns if c != "xml"], "o.label", *[F.col(f"o.{n}").cast("double").alias(n) for n in names[1:]])
+    parsed = F.from_xml("xml", VOC, {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"})
+    rows = held.select(*kept, F.explode(parsed["object"]).alias("o"))
+    return rows.select(*kept, F.col("o.name").alias("label"), *[F.col(f"o.bndbox.{c}").cast("double").alias(n) for n, c in zip(("x1", "y1", "x2", "y2"), ("xmin", "ymin", "xmax", "ymax"), strict=True)])
 
 
 def voc_xml(boxes: DataFrame) -> DataFrame:
